@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from lexweave.plans import corpus, warehouse
+
+QUERIES: dict = {**corpus.QUERIES, **warehouse.QUERIES}
+ORACLES: dict[str, str] = {**corpus.ORACLES, **warehouse.ORACLES}
