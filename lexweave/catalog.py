@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexweave.plans import corpus, warehouse
+from lexweave.plans import corpus, molecules, warehouse
 
-QUERIES: dict = {**corpus.QUERIES, **warehouse.QUERIES}
-ORACLES: dict[str, str] = {**corpus.ORACLES, **warehouse.ORACLES}
+QUERIES: dict = {**corpus.QUERIES, **warehouse.QUERIES, **molecules.QUERIES}
+ORACLES: dict[str, str] = {**corpus.ORACLES, **warehouse.ORACLES, **molecules.ORACLES}

@@ -46,14 +46,14 @@ def clean(c: Column, both_sides: bool = False) -> Column:
 
     ``both_sides`` drops spaces before a line end too (the web variant); otherwise only after it.
     """
-    x = F.regexp_replace(F.translate(repair_controls(c), " ", " "), r"[\t\x0B\f ]+", " ")
+    x = F.regexp_replace(F.translate(repair_controls(c), "\u00a0", " "), r"[\t\x0B\f ]+", " ")
     x = F.regexp_replace(x, r" *\n *" if both_sides else r"\n ", "\n")
     return strip(F.regexp_replace(x, r"\n{3,}", "\n\n"))
 
 
 def compact(c: Column) -> Column:
     """All white space folded to single spaces, stripped."""
-    return strip(F.regexp_replace(F.translate(c, " ", " "), r"(?U)\s+", " "))
+    return strip(F.regexp_replace(F.translate(c, "\u00a0", " "), r"(?U)\s+", " "))
 
 
 def has_controls(c: Column) -> Column:
@@ -159,7 +159,7 @@ def attribute(tag: Column, name: str) -> Column:
 
 def unescape_basic(c: Column) -> Column:
     """The five markup entities and the no-break space; ``unescape`` knows all."""
-    for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+    for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
         c = F.replace(c, F.lit(name), F.lit(ch))
     return c
 

@@ -14,7 +14,12 @@ from lexweave.functions.text import compact, positions, visible_text
 #: Words of events and commands.
 HEADER = r"(?im)^[^\r\n]*\[(?=(?:corrected|modified|added|changed)\b)[^\]\r\n]+\][^\r\n]*$"
 EVENT = r"(?i)\b(corrected|modified|added|changed)\s+([0-9]{1,2}(?:\.[0-9]{1,2}\.[0-9]{4}|\s+[A-Za-z]+\s+[0-9]{4}))"
-COMMAND = r"(?im)(?:^|(?<=[.;:>]\s))(replace\s+by|replace|delete|for|read|add)\b"
+WORDS = r"add\s+in\s+a\s+box|add\s+the\s+structure|replace\s+the\s+structure\s+with|replace\s+structure\s+by|replace\s+by|replace|delete|for|read|add"
+#: Commands stand in blue, or at the start of a line, a paragraph or the body.
+BLUE = rf"""(?is)<span\b(?=[^>]*color\s*:\s*blue)[^>]*>\s*({WORDS})\s*</span>"""
+LINE = rf"(?im)(^|<br\s*/?>|<p(?:\s[^>]*)?>)\s*({WORDS})\b"
+SIGN = "\x01"
+COMMAND = rf"(?i){SIGN}(?:{WORDS})\s*:?"
 RULE = r"(?i)\bP-[0-9]+(?:\.[0-9]+)*"
 LEFT = 45
 
@@ -44,14 +49,16 @@ def operations(n: DataFrame) -> DataFrame:
 
     Text before the first command, and a body without one, is an instruction.
     """
-    body = visible_text(F.col("body"))
+    marked = F.regexp_replace(F.regexp_replace("body", BLUE, f" {SIGN}$1 "), LINE, f"$1 {SIGN}$2 ")
+    body = visible_text(marked)
     e = n.select("overlay_id", body.alias("b")).select("overlay_id", "b", positions(F.col("b"), COMMAND).alias("c"))
     lead = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("instruction").alias("text"))
     e = e.select("overlay_id", "b", F.posexplode(F.concat(F.array(lead), F.col("c"))).alias("i", "x"))
     w = Window.partitionBy("overlay_id").orderBy("i")
     e = e.withColumn("stop", F.coalesce(F.lead("x.start").over(w), F.char_length("b")))
-    command = F.lower(F.regexp_replace("x.text", r"\s+", " "))
-    e = e.select("overlay_id", "i", F.when(command.startswith("replace"), "replace").otherwise(command).alias("command"), compact(F.regexp_replace(F.substring("b", F.col("x.end") + 1, F.col("stop") - F.col("x.end")), r"^\s*:", "")).alias("said"))
+    command = F.btrim(F.lower(F.regexp_replace("x.text", rf"{SIGN}|\s*:$", "")))
+    command = F.when(command.startswith("replace"), "replace").when(command.startswith("add"), "add").otherwise(command)
+    e = e.select("overlay_id", "i", command.alias("command"), compact(F.substring("b", F.col("x.end") + 1, F.col("stop") - F.col("x.end"))).alias("said"))
     e = e.where("command <> 'instruction' or said <> ''")
     e = e.withColumn("next", F.lead("command").over(w)).withColumn("next_said", F.lead("said").over(w)).withColumn("before", F.lag("command").over(w))
     e = e.where(~((F.col("command") == "read") & F.coalesce(F.col("before") == "for", F.lit(False))))

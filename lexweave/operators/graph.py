@@ -67,7 +67,7 @@ def dependencies(edges: DataFrame, rule_id: str, depth: int = 1, reverse: bool =
                 stack.append((iter(out.get(e[3], [])), left - 1))
         return pd.DataFrame(rows, columns=["pos", "source", "target"])
 
-    return near.groupBy(F.lit(1)).applyInPandas(walk, "pos long, source string, target string")
+    return near.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(walk, "pos long, source string, target string")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

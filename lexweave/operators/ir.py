@@ -41,7 +41,9 @@ def _walk(value, path: list, parent: str | None, kind: str | None) -> Iterator[t
             yield "object", value.get("kind") or kind or "node", value["id"], here, parent, [str(c) for c in value.get("clause_ids") or []], json.dumps(value, sort_keys=True, ensure_ascii=False)
             parent = here
         for k, v in value.items():
-            yield from _walk(v, [*path, k], parent, KINDS.get(k, kind if k != "ref" else None))
+            if k == "ref":
+                continue
+            yield from _walk(v, [*path, k], parent, KINDS.get(k, kind))
     elif isinstance(value, list):
         for i, v in enumerate(value):
             yield from _walk(v, [*path, i], parent, kind)

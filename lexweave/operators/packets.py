@@ -25,7 +25,7 @@ def context(assigned: DataFrame, edges: DataFrame, corpus: str = "corpus", radiu
     places away, parents, and rules at either end of their edges; none that the packet itself holds."""
     w = Window.partitionBy(corpus).orderBy("pos")
     near = F.array_compact(F.array(*(f("rule_id", k).over(w) for k in range(1, radius + 1) for f in (F.lag, F.lead))))
-    neighbours = assigned.select("packet_id", F.explode(near).alias("rule_id"), F.lit("neighbour").alias("reason"))
+    neighbours = assigned.select("packet_id", near.alias("near")).select("packet_id", F.explode("near").alias("rule_id"), F.lit("neighbour").alias("reason"))
     parents = assigned.select("packet_id", F.col("rule_id").alias("_r")).join(parent_rules(assigned).withColumnRenamed("rule_id", "_r"), "_r").select("packet_id", F.col("parent").alias("rule_id"), F.lit("parent").alias("reason"))
     out = assigned.select("packet_id", F.col("rule_id").alias("source")).join(edges, "source").select("packet_id", F.col("target").alias("rule_id"), F.lit("outgoing").alias("reason"))
     into = assigned.select("packet_id", F.col("rule_id").alias("target")).join(edges, "target").select("packet_id", F.col("source").alias("rule_id"), F.lit("incoming").alias("reason"))
