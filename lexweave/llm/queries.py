@@ -58,7 +58,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its number of ids, a digest of the ids, a digest of the decoded text, and whether it is the text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     both = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs))
-    ids = F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), (F.col("decoded") == F.replace("text", F.lit(sentencepiece_viterbi.MARK), F.lit(" "))).alias("round_trip"))
 
 

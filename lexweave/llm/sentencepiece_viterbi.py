@@ -14,7 +14,6 @@ Characters that no piece has become bytes.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -25,9 +24,8 @@ from pyspark.sql import functions as F
 from lexweave.llm.common import text_batches
 
 MARK = "▁"
-#: Words and pairs remembered by one worker; a full memory is emptied, results don't depend on it.
-REMEMBER = 700_000
-_WORD = re.compile(f"{MARK}+[^{MARK}]*")
+#: Words remembered by one worker; a full memory is emptied, results don't depend on it.
+REMEMBER = 1_500_000
 
 
 def default_path() -> str:
@@ -36,6 +34,24 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a marked text, each without its first mark and with further leading marks as spaces."""
+    if MARK in text:
+        text = text.replace(MARK, " ")
+    words = text.split(" ")
+    if "  " not in text and words[0] and words[-1]:
+        return words
+    out, lead = [], 0
+    for w in words[:-1]:
+        if w:
+            out.append(" " * lead + w)
+            lead = 0
+        else:
+            lead += 1
+    out.append(" " * lead + words[-1])
+    return out
+
+
 class Pieces:
     """The pieces of a model file and the shared-prefix encoder over them."""
 
@@ -55,94 +71,142 @@ class Pieces:
                 self.ids[p] = i
         self.skip = {i for i in range(len(self.text)) if sp.is_control(i)}
         self.score = [sp.get_score(i) for i in range(len(self.text))]
-        self.longest = max(map(len, self.ids))
-        self.chars = set("".join(self.ids))
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece crosses words")
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.good = {p for p in self.ids if len(p) > 1 and self.merge(p) == [p]}  # those that merging reaches
-        self.words: dict[str, list[int]] = {}
+        # the order in which merging makes pieces (characters: -1), and the two parts that each is made of
+        by_score = sorted((i for p, i in self.ids.items() if len(p) > 1), key=lambda i: -self.score[i])
+        self.rank = {self.text[i]: r for r, i in enumerate(by_score)}
+        self.parts: dict[str, tuple[str, str]] = {}
+        for p in self.rank:
+            steps = self.merge(p, 2)
+            if len(steps) == 2:
+                self.parts[p] = (steps[0], steps[1])
+        # forward automaton over pieces that merging reaches: state -> character -> state, and the piece that ends there
+        self.step: list[dict[str, int]] = [{}]
+        self.ends: list[str | None] = [None]
+        for p in [*self.parts, *(c for c in self.ids if len(c) == 1)]:
+            at = 0
+            for ch in p:
+                if ch not in self.step[at]:
+                    self.step[at][ch] = len(self.step)
+                    self.step.append({})
+                    self.ends.append(None)
+                if ch == MARK:
+                    self.step[at][" "] = self.step[at][ch]
+                at = self.step[at][ch]
+            self.ends[at] = p
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.words: dict[str, bytes] = {}
+        self.code = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        self.plain = np.array([b < 0 and i not in self.skip for i, b in enumerate(self.byte)])
 
-    def merge(self, text: str) -> list[str]:
-        """Greedy merging of the best pair, leftmost first: only ever applied to one or two pieces' text."""
+    def merge(self, text: str, until: int = 1) -> list[str]:
+        """Greedy merging of the best pair, leftmost first, down to ``until`` parts: only ever applied to one piece."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > until:
             best, at = None, -1
             for i in range(len(parts) - 1):
-                k = self.ids.get(parts[i] + parts[i + 1])
-                if k is not None and (best is None or self.score[k] > best):
-                    best, at = self.score[k], i
+                k = self.rank.get(parts[i] + parts[i + 1])
+                if k is not None and (best is None or k < best):
+                    best, at = k, i
             if at < 0:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return parts if len(parts) < 2 or until == 1 or parts[0] + parts[1] in self.rank else list(text)[:1]
 
     def follows(self, a: str, b: str) -> bool:
-        key = (a, b)
-        found = self.fits.get(key)
-        if found is None:
-            if len(self.fits) > REMEMBER:
-                self.fits.clear()
-            found = self.fits[key] = self.merge(a + b) == [a, b]
-        return found
+        """Whether merging the two texts gives back just these pieces: their merges are undone, the latest first, and
+        at no stage may the parts that touch have been merged before."""
+        rank, parts = self.rank, self.parts
+        limit = len(rank) + 1
+        while True:
+            both = rank.get(a + b)
+            if both is not None and both < limit:
+                return False
+            x, y = rank.get(a, -1) if a in parts else -1, rank.get(b, -1) if b in parts else -1
+            if x > y:
+                limit, a = x, parts[a][1]
+            elif y >= 0:
+                limit, b = y + 1, parts[b][0]
+            else:
+                return True
 
     def learn(self, words: set[str]) -> None:
-        """Encode all ``words`` that aren't remembered, in trie order."""
-        new = sorted(w for w in words if w not in self.words)
-        if len(self.words) + len(new) > REMEMBER:
-            self.words.clear()
-            new = sorted(words)
-        good, fits, follows, longest = self.good, self.fits, self.follows, self.longest
-        before, last = "", [""]  # last[i]: the last piece of the encoding of the first i characters
+        """Encode and remember ``words``, in trie order."""
+        new = sorted(words)
+        step, ends, fits, follows, known, code, root = self.step, self.ends, self.fits, self.follows, self.words, self.code, self.step[0]
+        # for each prefix of the marked word: the last piece of its encoding, the ids so far, the pieces under way
+        # (start, state); the mark in front is common to all words
+        before, last, path, under = "", ["", MARK], [b"", code[MARK]], [[], [(0, root[MARK])]]
         for word in new:
-            n, shared = len(word), 0
-            top = min(n, len(before))
-            while shared < top and word[shared] == before[shared]:
+            shared = 1
+            for x, y in zip(word, before, strict=False):
+                if x != y:
+                    break
                 shared += 1
-            del last[shared + 1 :]
-            for end in range(shared + 1, n + 1):
-                for start in range(max(0, end - longest), end - 1):
-                    piece = word[start:end]
-                    if piece in good:
-                        if not start:
-                            break
-                        fit = fits.get((last[start], piece))
-                        if fit or (fit is None and follows(last[start], piece)):
-                            break
-                else:
-                    piece = word[end - 1]
-                last.append(piece)
+            del last[shared + 1 :], path[shared + 1 :], under[shared + 1 :]
+            end = shared
+            for ch in word[shared - 1 :]:
+                ahead, found, at = [], None, end
+                for start, state in under[end]:
+                    to = step[state].get(ch)
+                    if to is not None:
+                        ahead.append((start, to))
+                        if found is None:
+                            piece = ends[to]
+                            if piece is not None:
+                                if start:
+                                    row = fits.get(last[start])
+                                    if row is None:
+                                        row = fits[last[start]] = {}
+                                    fit = row.get(piece)
+                                    if fit is None:
+                                        fit = row[piece] = follows(last[start], piece)
+                                    if not fit:
+                                        continue
+                                found, at = piece, start
+                to = root.get(ch)
+                if to is not None:
+                    ahead.append((end, to))
+                if found is None:  # the character alone; a space stands for a mark
+                    found = ch if ch != " " else MARK
+                own = code.get(found)
+                if own is None:
+                    own = b"".join(self.of_byte[b].to_bytes(4, "little") for b in found.encode("utf-8", "surrogatepass"))
+                last.append(found)
+                path.append(path[at] + own)
+                under.append(ahead)
+                end += 1
+            known[word] = path[-1]
             before = word
-            out: list[int] = []
-            end = n
-            while end:
-                piece = last[end]
-                i = self.ids.get(piece)
-                if i is None:
-                    out.extend(self.of_byte[b] for b in reversed(piece.encode("utf-8", "surrogatepass")))
-                else:
-                    out.append(i)
-                end -= len(piece)
-            out.reverse()
-            self.words[word] = out
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        cut = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        self.learn({w for words in cut for w in words})
+    def encode_packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        cut = [words_of(t) if t else [] for t in texts]
         known = self.words
-        out = []
-        for words in cut:
-            ids: list[int] = []
-            for w in words:
-                ids += known[w]
-            out.append(ids)
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+        got = [list(map(known.get, words)) for words in cut]
+        open_ = [(g, words, [i for i, x in enumerate(g) if x is None]) for words, g in zip(cut, got, strict=True) if None in g]
+        missing = {words[i] for _, words, at in open_ for i in at}
+        if len(known) + len(missing) > REMEMBER:
+            known.clear()
+        self.learn(missing)
+        for g, words, at in open_:
+            for i in at:
+                g[i] = known[words[i]]
+        return list(map(b"".join, got))
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [np.frombuffer(x, "<i4").tolist() for x in self.encode_packed(texts)]
+
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ``ids``: bytes join to characters, marks become spaces, the first mark goes."""
+        text, byte = self.text, self.byte
+        ids = np.asarray(ids, np.int64)
+        plain, ids = self.plain[ids].all(), ids.tolist()
+        if plain:
+            return "".join([text[i] for i in ids]).replace(MARK, " ").removeprefix(" ")
         out: list[str] = []
         held = bytearray()
-        text, byte = self.text, self.byte
         for i in ids:
             if byte[i] >= 0:
                 held.append(byte[i])
@@ -169,9 +233,9 @@ def encode(df: DataFrame, text_col: str = "text", out: str = "ids", path: str |
 
     @F.arrow_udf("array<int>")
     def of(texts: pa.Array) -> pa.Array:
-        got = model(path).encode(texts.to_pylist())
-        offsets = np.cumsum([0, *map(len, got)], dtype=np.int32)
-        flat = np.fromiter((i for x in got for i in x), np.int32, int(offsets[-1]))
+        got = model(path).encode_packed(texts.to_pylist())
+        offsets = np.cumsum([0, *(len(x) // 4 for x in got)], dtype=np.int32)
+        flat = np.frombuffer(b"".join(got), "<i4")
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     return df.withColumn(out, of(F.col(text_col).cast("string")))
@@ -186,6 +250,8 @@ def decode(df: DataFrame, ids_col: str = "ids", out: str = "decoded", path: str
     @F.arrow_udf("string")
     def of(ids: pa.Array) -> pa.Array:
         m = model(path)
-        return pa.array([None if x is None else m.decode(x) for x in ids.to_pylist()], pa.string())
+        flat, at = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+        some = ids.is_valid().to_pylist()
+        return pa.array([m.decode(flat[at[k] : at[k + 1]]) if some[k] else None for k in range(len(ids))], pa.string())
 
     return df.withColumn(out, of(F.col(ids_col)))
