@@ -1,15 +1,17 @@
-"""Shared parts of the training-data operators: cut lineage, bounded samples, distributed components."""
+"""Shared parts of the training-data operators: short batches, bounded samples; lineage and components are the library's."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexweave.operators.graph import components
+from lexweave.plans.lineage import cut, drop, shared_dir
+
+__all__ = ["bounded_sample", "components", "cut", "drop", "shared_dir", "text_batches", "unit_hash"]
+
 #: Rows of one Arrow batch: texts can be very long, so batches are short.
-ARROW_ROWS = 256
+ARROW_ROWS = 512
 
 
 def text_batches(spark: SparkSession) -> None:
@@ -19,29 +21,6 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests), a new temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="lexweave-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame) -> tuple[DataFrame, str]:
-    """Write ``df`` to the shared folder and read it back: survives lost executors and ends the lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lexweave-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete a table written by ``cut`` that no later plan reads."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
-
-
 def unit_hash(*cols: str | Column, seed: str = "lexweave") -> Column:
     """A uniform number in [0, 1) that depends on the columns' values only."""
     return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -59,45 +38,3 @@ def bounded_sample(df: DataFrame, stratum: str, key: str, bound: int) -> DataFra
     for value, n in sizes.items():
         share = F.when(F.col(stratum).eqNullSafe(F.lit(value)), F.lit(min(1.0, bound / n))).otherwise(share)
     return df.where(unit_hash(key) < share)
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of an undirected edge list.
-
-    ``edges`` has long columns ``a`` and ``b``; nulls and loops are ignored, direction and repeats
-    don't matter. Returns ``node``, ``root`` (the least node reachable), one row for each node with an edge.
-    Alternating large-star and small-star rounds: every round is joins and aggregates with partial
-    sums, written to the shared folder; nothing but two numbers a round reaches the driver.
-    """
-    spark = edges.sparkSession
-    e = (
-        edges.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-    )
-    e, path = cut(e)
-    mark = _mark(e)
-    for _ in range(max_rounds):
-        if mark[0] == 0:
-            break
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        least, least_path = cut(least)  # a table of its own, so that the planner can split a hub's share of the join
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new, new_path = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        drop(spark, path)
-        drop(spark, least_path)
-        now, e, path = _mark(new), new, new_path
-        if now == mark:
-            break
-        mark = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    )
-
-
-def _mark(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
