@@ -28,7 +28,7 @@ WORD = re.compile(r"[^\W\d_]+")
 SPACE = 1 << 22
 FEATURES = 3000
 LEAST_DOCS = 5
-BOUND = 2500
+BOUND = 2000
 PENALTY = 2.0
 THRESHOLD = 0.7
 #: Words one worker remembers; a full memory is emptied, results don't depend on it.
@@ -180,7 +180,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     table = pick.select("_text", "_label").mapInArrow(make, "label int, ids array<array<int>>, counts array<array<int>>").toArrow()
     found = []
-    for b in table.to_batches():
+    batches = table.to_batches()
+    del table
+    while batches:  # each batch goes once its rows are taken
+        b = batches.pop()
         for label, ids, counts in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
             own = [(_ints(i), _ints(c)) for i, c in zip(ids.values, counts.values, strict=True)]
             found.append((label, *own[0], own[1:]))
@@ -189,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _ints(x: pa.Scalar) -> np.ndarray:
-    return x.values.to_numpy(zero_copy_only=False).astype(np.int64) if x.values is not None else np.zeros(0, np.int64)
+    return x.values.to_numpy(zero_copy_only=False).astype(np.int32) if x.values is not None else np.zeros(0, np.int32)
 
 
 def score_column(df: DataFrame, model: Model, text_col: str = "text") -> Column:
