@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import langid, packing, pii, simhash, toxicity
+from lexweave.llm import langid, packing, pii, simhash_similar, toxicity
 from lexweave.llm.common import cut
 from lexweave.llm.queries import remainder
 
@@ -31,8 +31,8 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their SimHash fingerprints the one with the least id stays."""
-    return simhash.keep_one(docs)
+    """Of documents that share four fifths of their five-word shingles the one with the least id stays."""
+    return simhash_similar.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
