@@ -79,6 +79,22 @@ def test_cli(capsys):
     assert cli.main(["queries"]) == 0 and "xref_edges" in capsys.readouterr().out
 
 
+def test_cli_tables(spark, tmp_path, capsys):
+    corpus = [{"rule_id": "P-1", "title": "one", "source_chapter": "c", "rule_type": "t", "applies_if": ["ring"], "depends_on": ["P-2"]}, {"rule_id": "P-2", "title": "two", "source_chapter": "c", "rule_type": "t", "unless": ["ring"], "depends_on": ["P-3"]}]
+    (tmp_path / "r.json").write_text(json.dumps(corpus))
+    path = str(tmp_path / "r.json")
+    for args, word in ((["stats"], '"n":2'), (["search", "--query", "two"], "P-2"), (["get", "--id", "P-1"], "one"), (["deps", "--id", "P-1", "--depth", "2"], "P-3"), (["eval", "--fact", "a ring"], '"condition_score":1')):
+        assert cli.main(["rules", args[0], path, *args[1:]]) == 0
+        assert word in capsys.readouterr().out
+    spark.createDataFrame([("d", 0, "a")], "document_id string, pos int, text string").write.parquet(str(tmp_path / "n"))
+    assert cli.main(["store", "generate", str(tmp_path / "s"), "--nodes", str(tmp_path / "n")]) == 0
+    assert cli.main(["store", "generate", str(tmp_path / "s")]) == 2
+    (tmp_path / "spec.json").write_text(json.dumps([{"filename": "gone.html", "url": "u", "sha256": "0" * 64, "byte_length": 1}]))
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files/x").write_text("x")
+    assert cli.main(["sources", str(tmp_path / "spec.json"), str(tmp_path / "files")]) == 1 and "file.missing" in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
