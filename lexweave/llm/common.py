@@ -11,7 +11,7 @@ from lexweave.plans.lineage import cut, drop, shared_dir
 __all__ = ["bounded_sample", "components", "cut", "drop", "shared_dir", "text_batches", "unit_hash"]
 
 #: Rows of one Arrow batch: texts can be very long, so batches are short.
-ARROW_ROWS = 512
+ARROW_ROWS = 256
 
 
 def text_batches(spark: SparkSession) -> None:

@@ -15,7 +15,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,9 @@ BOUND = 2000
 PENALTY = 2.0
 THRESHOLD = 0.7
 #: Words one worker remembers; a full memory is emptied, results don't depend on it.
-REMEMBER = 300_000
+REMEMBER = 150_000
+#: The model last used and its words: a worker outlives models, so only one model's memory is kept.
+_remembered: tuple = (None, {})
 
 #: Group terms that may be swapped for each other, by language and number (a parameter; lower case).
 GROUPS: tuple[tuple[str, ...], ...] = (
@@ -76,10 +78,12 @@ class Model:
     ids: np.ndarray  # selected features, ascending
     weights: np.ndarray
     bias: float
-    _words: dict[str, tuple[int, tuple[int, ...]]] = field(default_factory=dict, repr=False)
 
     def score(self, text: str | None) -> float:
-        known, counts, total = self._words, Counter(WORD.findall((text or "").lower())), 1
+        global _remembered
+        if _remembered[0] is not self:
+            _remembered = (self, {})
+        known, counts, total = _remembered[1], Counter(WORD.findall((text or "").lower())), 1
         hits: dict[int, int] = {}
         for word, n in counts.items():
             own = known.get(word)
@@ -98,9 +102,6 @@ class Model:
             z += float(np.log1p(k * (3000 / total)) @ self.weights[list(hits)])
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    def __getstate__(self) -> dict:
-        return {"ids": self.ids, "weights": self.weights, "bias": self.bias, "_words": {}}
-
 
 def _select(docs: list[np.ndarray], y: np.ndarray, top: int) -> np.ndarray:
     """The features with the largest z-scores of their log odds, either way, at least ``LEAST_DOCS`` documents each."""
