@@ -37,9 +37,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is replaced by its kind's mark; ``n_chars`` follows."""
-    found = pii.spans(docs)
+    # the row travels in one column, so that none of its names meets those of the operator
+    found = pii.spans(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "doc_id", "text"))
     text = pii.mask(F.col("text"), "spans")
-    return found.select(*(text.alias(c) if c == "text" else F.coalesce(F.char_length(text).cast("long"), F.lit(0)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    size = F.coalesce(F.char_length(text).cast("long"), F.lit(0))
+
+    def column(c: str):
+        own = text if c == "text" else size.cast(docs.schema[c].dataType) if c == "n_chars" else F.col("_row").getField(c)
+        return own.alias(c)
+
+    return found.select(*map(column, docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -212,7 +212,8 @@ def probability(text: Column, span: Column, model: dict[int, tuple[float, list[f
 def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``df`` with ``base`` and ``spans``: arrays of struct<start,kind,end> by start, then kind (its number in ``KINDS``).
 
-    ``spans`` has all base spans and the accepted candidates. Null and empty texts have none.
+    ``spans`` has all base spans and the accepted candidates. Null and empty texts have none. Columns of ``df`` with
+    these names, or named ``loose``, are replaced.
     """
     found = find(df, id_col, text_col)
     model = train(found, text_col)

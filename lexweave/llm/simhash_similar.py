@@ -16,8 +16,10 @@ of near copies nor a common bucket leads to all its pairs being checked, and non
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,12 @@ from lexweave.llm.common import components, cut, text_batches
 from lexweave.llm.simhash import SEED, signed
 
 WIDTH, SIMILARITY, WIDE = 5, 0.8, 128
-SMALL, BLOCK = 48, 256
+SMALL, BLOCK = 4, 256
 #: Common buckets that may be broadcast; beyond, they are joined by a shuffle.
 FEW = 50_000
 MISSED = 0.02
+#: Blocks of bit positions (seven tables each) dealt out at once; what their shuffles take is freed before the next.
+AT_ONCE = 8
 PART = 1 << 15
 _BITS = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -76,8 +80,9 @@ def bit_difference(similarity: float) -> float:
 
 
 def tables(n: int, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Masks (two words each) for ``n`` fingerprints: a key has about log2(n) + 2 bits, so unrelated texts seldom meet."""
-    bits = max(16, math.ceil(math.log2(max(n, 2))) + 2)
+    """Masks (two words each) for ``n`` fingerprints. A key has at least log2(n) + 2 bits, so unrelated texts seldom meet,
+    rounded up to a multiple of four, so that masks stay the same while a corpus grows by up to sixteen times."""
+    bits = max(16, 4 * math.ceil((math.log2(max(n, 2)) + 2) / 4))
     blocks = math.ceil(-math.log(MISSED) / (7 * (1 - bit_difference(similarity)) ** bits))
     size = min(WIDE, round(bits * 7 / 4))
     rng, out = np.random.default_rng(23), []
@@ -90,9 +95,9 @@ def tables(n: int, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
 
 
 def farthest(similarity: float = SIMILARITY) -> int:
-    """Bits beyond which a pair is no candidate: the expected difference and four standard deviations."""
+    """Bits beyond which a pair is no candidate: the expected difference and three standard deviations."""
     d = bit_difference(similarity)
-    return math.ceil(WIDE * d + 4 * math.sqrt(WIDE * d * (1 - d)))
+    return math.ceil(WIDE * d + 3 * math.sqrt(WIDE * d * (1 - d)))
 
 
 def _near(f1: np.ndarray, g1: np.ndarray, f2: np.ndarray, g2: np.ndarray, n: np.ndarray, m: np.ndarray, far: int, similarity: float) -> np.ndarray:
@@ -108,6 +113,11 @@ def _columns(t: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [t.column(c).to_numpy() for c in names]
 
 
+def _side(df: DataFrame) -> DataFrame:
+    """A written table as the side of a join: broadcast only if it is small."""
+    return df if df.count() > FEW else F.broadcast(df)
+
+
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """One row for each row of ``df``: the id and ``component_id``, the least id reachable over links.
 
@@ -131,12 +141,7 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own, _ = cut(df.select(F.col(id_col).cast("long").alias("id"), scan(F.col(text_col).cast("string")).alias("x")).select("id", "x.*"))
     classes, _ = cut(own.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("f1").alias("f1"), F.first("f2").alias("f2")))
     named = classes.where("id is not null and n > 0").select("id", "n", "f1", "f2")
-    masks = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(signed(a)).alias("m1"), F.lit(signed(b)).alias("m2")) for t, (a, b) in enumerate(tables(named.count(), similarity))))
-    dealt = named.withColumn("x", F.explode(masks)).select("id", "n", "f1", "f2", F.xxhash64("x.t", F.col("f1").bitwiseAND(F.col("x.m1")), F.col("f2").bitwiseAND(F.col("x.m2"))).alias("key"))
-    far = farthest(similarity)
-
-    common, _ = cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > SMALL).select("key", "size"))
-    side = (lambda t: t) if common.count() > FEW else F.broadcast
+    every, far = tables(named.count(), similarity), farthest(similarity)
     fields = ("key", "id", "n", "f1", "f2")
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,14 +162,29 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             tail = np.searchsorted(key, key[-1])  # the last bucket may go on: its pairs so far are found again, no harm
             held = [x[tail:] for x in now]
 
-    light = dealt.join(side(common.select("key")), "key", "left_anti").select(*fields)
-    few = light.repartition("key").sortWithinPartitions("key", "id").mapInArrow(within, "a long, b long")
-    crowd, _ = cut(dealt.join(side(common), "key"))
-    leaders, _ = cut(crowd.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("r"), "id", "n", "f1", "f2")).alias("l")))
-    led = crowd.join(side(leaders), "key").where(F.col("id") != F.col("l.id"))
-    distance = F.bit_count(F.col("f1").bitwiseXOR(F.col("l.f1"))) + F.bit_count(F.col("f2").bitwiseXOR(F.col("l.f2")))
-    led = led.where((distance <= far) & (F.least("n", "l.n") >= similarity * F.greatest("n", "l.n")))
-    first, _ = cut(few.unionByName(led.select(F.greatest("id", "l.id").alias("a"), F.least("id", "l.id").alias("b"))).distinct())
+    def meet(masks: list[tuple[int, tuple[int, int]]]) -> tuple[DataFrame, DataFrame]:
+        """Of some tables: the candidate pairs, and the rows of their larger buckets."""
+        these = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(signed(a)).alias("m1"), F.lit(signed(b)).alias("m2")) for t, (a, b) in masks))
+        dealt = named.withColumn("x", F.explode(these)).select("id", "n", "f1", "f2", F.xxhash64("x.t", F.col("f1").bitwiseAND(F.col("x.m1")), F.col("f2").bitwiseAND(F.col("x.m2"))).alias("key"))
+        common, _ = cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > SMALL).select("key"))
+        side = _side(common)
+        light = dealt.join(side, "key", "left_anti").select(*fields)
+        few = light.repartition("key").sortWithinPartitions("key", "id").mapInArrow(within, "a long, b long")
+        crowd, _ = cut(dealt.join(side, "key").select(*fields))
+        leaders, _ = cut(crowd.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("r"), "id", "n", "f1", "f2")).alias("l")))
+        led = crowd.join(_side(leaders), "key").where(F.col("id") != F.col("l.id"))
+        distance = F.bit_count(F.col("f1").bitwiseXOR(F.col("l.f1"))) + F.bit_count(F.col("f2").bitwiseXOR(F.col("l.f2")))
+        led = led.where((distance <= far) & (F.least("n", "l.n") >= similarity * F.greatest("n", "l.n")))
+        pairs, _ = cut(few.unionByName(led.select(F.greatest("id", "l.id").alias("a"), F.least("id", "l.id").alias("b"))).distinct())
+        return pairs, crowd
+
+    met = []
+    for at in range(0, len(every), 7 * AT_ONCE):
+        met.append(meet(list(enumerate(every))[at : at + 7 * AT_ONCE]))
+        gc.collect()
+        spark._jvm.System.gc()  # lets Spark delete the shuffle files of these tables
+    first, _ = cut(reduce(DataFrame.unionByName, [p for p, _ in met]).distinct())
+    crowd = reduce(DataFrame.unionByName, [c for _, c in met])
 
     ids = first.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowd.select("id")).distinct()
     texts, _ = cut(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi"))
@@ -189,7 +209,7 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     parted = rooted(crowd.select(*fields), "id", "root")
     mixed, _ = cut(parted.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("m")))
-    some = parted.join(side(mixed), "key")
+    some = parted.join(_side(mixed), "key")
     some = some.withColumn("side", F.pmod(F.xxhash64("id", "key"), F.col("m")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     some = some.select(*fields, "root", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
     some = some.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
@@ -220,8 +240,11 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield from blocks(pa.Table.from_batches(held), True)[0]
 
     late, _ = cut(rest.unionByName(some.mapInArrow(across, "a long, b long")).distinct())
-    final = components(links.unionByName(checked(late)))
-    known = classes.join(final, classes["id"] == final["node"], "left").select("c1", "c2", F.coalesce("root", "id").alias("component_id"))
+    more = checked(late)
+    # what the second check links are components as a whole, so only their roots take part in the second round
+    joined, _ = cut(components(rooted(rooted(more, "a", "ra"), "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+    over = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = rooted(classes, "id", "root").join(over, "root", "left").select("c1", "c2", F.coalesce("top", "root").alias("component_id"))
     known, _ = cut(known)
     return own.join(known, ["c1", "c2"]).select(F.col("id").alias(id_col), "component_id")
 

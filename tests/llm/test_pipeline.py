@@ -28,7 +28,9 @@ def tables(spark, folder):
         labels.append((i, 1, int("idiotic" in words)))
     docs += [(900, None, "aa", None, None), (901, "", None, "s", 0), (902, "12 34", "bb", "s", 5), (903, "the house " * 5000, "aa", "s", 50000)]
     docs = [(i, t, la, s, len(t) if t is not None else None) for i, t, la, s, _ in docs]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    docs = [(*r, r[0] * 2, "own", 0.5) for r in docs]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, spans long, base string, score double"  # names that operators use too
+    spark.createDataFrame(docs, kind).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return docs
 
@@ -58,7 +60,7 @@ def test_every_stage_against_brute_force(spark, tmp_path):
             kept = [r for i, r in enumerate(kept) if root[i] == i]
         elif name == "pii":
             masked = [(r[0], re.sub(re.escape(EMAIL), "<EMAIL>", r[1]), *r[2:4]) for r in kept]
-            kept = [(*r, len(r[1])) for r in masked]
+            kept = [(*r, len(r[1]), r[0] * 2, "own", 0.5) for r in masked]
             assert any("<EMAIL>" in r[1] for r in kept)
         if k < len(P.STAGES) - 1:
             assert out.columns == now.columns

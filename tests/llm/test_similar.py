@@ -70,7 +70,7 @@ def test_edge_cases(spark):
 
 def test_masks_and_index():
     m = S.tables(1000)
-    assert len(m) % 7 == 0 and all(8 <= a.bit_count() + b.bit_count() <= 24 for a, b in m)
+    assert len(m) % 7 == 0 and all(8 <= a.bit_count() + b.bit_count() <= 28 for a, b in m)
     assert S.jaccard("a b c d e f", "a b c d e f") == 1 and S.jaccard("", None) == 1 and S.jaccard("", "a") == 0
     assert S.jaccard("a b c d e f", "A B C D E g") == 1 / 3
     long = "w " * 200000
