@@ -8,10 +8,11 @@ drawn as leave a pair at the very similarity with about one chance in fifty to m
 Candidates near enough in Hamming distance are then checked by the exact Jaccard index of their texts' shingle sets,
 so no link is false.
 
-Equal word sequences are one class first. Buckets of up to ``SMALL`` classes are compared pair by pair. In larger ones
-all are compared with one leader; after the links found so far are components, only members of different components
-are compared in blocks. A pair inside one component needs no check, as it can't change the result: so neither a crowd
-of near copies nor a common bucket leads to all its pairs being checked, and none is left out.
+Equal word sequences are one class first. Members of a bucket near enough in Hamming distance are joined: of up to
+``SMALL`` all with each other, of more all with one leader. The components of this graph are clusters, and inside a
+cluster every pair of documents near enough is checked by the exact Jaccard index of their shingle sets, in blocks dealt
+to as many tasks: no link is false, none inside a cluster is left out, and a task returns links that span what it
+found and no list of pairs. Documents already connected within a block aren't compared again, as that can't change it.
 """
 
 from __future__ import annotations
@@ -27,13 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import components, cut, text_batches
+from lexweave.llm.common import components, cut, drop, text_batches
 from lexweave.llm.simhash import SEED, signed
 
 WIDTH, SIMILARITY, WIDE = 5, 0.8, 128
-SMALL, BLOCK = 4, 256
-#: Common buckets that may be broadcast; beyond, they are joined by a shuffle.
-FEW = 50_000
+SMALL, BLOCK = 4, 128
+#: Rows of a few numbers each that may be broadcast (under 10 MB); beyond, they are joined by a shuffle.
+FEW = 200_000
 MISSED = 0.02
 #: Blocks of bit positions (seven tables each) dealt out at once; what their shuffles take is freed before the next.
 AT_ONCE = 8
@@ -113,6 +114,31 @@ def _columns(t: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [t.column(c).to_numpy() for c in names]
 
 
+def spanning(texts: list[str | None], part: np.ndarray, width: int = WIDTH, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what is similar in a block: within one part, or between its two parts."""
+    sets = [shingles(t, width) for t in texts]
+    f = np.array([wide_print(h) for h in sets], np.uint64).view(np.int64)
+    n, far, cross = np.array([len(h) for h in sets]), farthest(similarity), part[0] != part[-1] or len(set(part.tolist())) > 1
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for k in range(len(sets)):
+        near = np.flatnonzero(_near(f[k, 0], f[:k, 0], f[k, 1], f[:k, 1], n[k], n[:k], far, similarity) & ((part[:k] != part[k]) if cross else True))
+        for j in near.tolist():
+            if find(j) != find(k):
+                both = len(np.intersect1d(sets[j], sets[k], assume_unique=True))
+                if both >= similarity * (n[j] + n[k] - both):
+                    root[find(j)] = find(k)
+                    out.append((k, j))
+    return tuple(np.array(out, np.int64).reshape(-1, 2).T)
+
+
 def _side(df: DataFrame) -> DataFrame:
     """A written table as the side of a join: broadcast only if it is small."""
     return df if df.count() > FEW else F.broadcast(df)
@@ -162,89 +188,64 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             tail = np.searchsorted(key, key[-1])  # the last bucket may go on: its pairs so far are found again, no harm
             held = [x[tail:] for x in now]
 
-    def meet(masks: list[tuple[int, tuple[int, int]]]) -> tuple[DataFrame, DataFrame]:
-        """Of some tables: the candidate pairs, and the rows of their larger buckets."""
+    def meet(masks: list[tuple[int, tuple[int, int]]]) -> DataFrame:
+        """The candidate pairs of some tables."""
         these = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(signed(a)).alias("m1"), F.lit(signed(b)).alias("m2")) for t, (a, b) in masks))
         dealt = named.withColumn("x", F.explode(these)).select("id", "n", "f1", "f2", F.xxhash64("x.t", F.col("f1").bitwiseAND(F.col("x.m1")), F.col("f2").bitwiseAND(F.col("x.m2"))).alias("key"))
         common, _ = cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > SMALL).select("key"))
         side = _side(common)
         light = dealt.join(side, "key", "left_anti").select(*fields)
         few = light.repartition("key").sortWithinPartitions("key", "id").mapInArrow(within, "a long, b long")
-        crowd, _ = cut(dealt.join(side, "key").select(*fields))
+        crowd, path = cut(dealt.join(side, "key").select(*fields))
         leaders, _ = cut(crowd.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("r"), "id", "n", "f1", "f2")).alias("l")))
         led = crowd.join(_side(leaders), "key").where(F.col("id") != F.col("l.id"))
         distance = F.bit_count(F.col("f1").bitwiseXOR(F.col("l.f1"))) + F.bit_count(F.col("f2").bitwiseXOR(F.col("l.f2")))
         led = led.where((distance <= far) & (F.least("n", "l.n") >= similarity * F.greatest("n", "l.n")))
         pairs, _ = cut(few.unionByName(led.select(F.greatest("id", "l.id").alias("a"), F.least("id", "l.id").alias("b"))).distinct())
-        return pairs, crowd
+        drop(spark, path)
+        return pairs
 
     met = []
     for at in range(0, len(every), 7 * AT_ONCE):
         met.append(meet(list(enumerate(every))[at : at + 7 * AT_ONCE]))
         gc.collect()
         spark._jvm.System.gc()  # lets Spark delete the shuffle files of these tables
-    first, _ = cut(reduce(DataFrame.unionByName, [p for p, _ in met]).distinct())
-    crowd = reduce(DataFrame.unionByName, [c for _, c in met])
-
-    ids = first.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowd.select("id")).distinct()
-    texts, _ = cut(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi"))
-
-    @F.arrow_udf("double")
-    def index(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([jaccard(x, y, width) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-        return cut(both.where(index(F.col("ta"), F.col("tb")) >= similarity).select("a", "b").distinct())[0]
-
-    one = first.groupBy("a").agg(F.min("b").alias("b"))  # of each document's candidates one: most crowds hold together by these
-    links = checked(one)
-    roots, _ = cut(components(links))
-
-    def rooted(pairs: DataFrame, column: str, name: str) -> DataFrame:
-        return pairs.join(roots.select(F.col("node").alias(column), F.col("root").alias(name)), column, "left").withColumn(name, F.coalesce(name, column))
-
-    rest = first.join(one, ["a", "b"], "left_anti")
-    rest = rooted(rooted(rest, "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b")
-
-    parted = rooted(crowd.select(*fields), "id", "root")
-    mixed, _ = cut(parted.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("m")))
-    some = parted.join(_side(mixed), "key")
-    some = some.withColumn("side", F.pmod(F.xxhash64("id", "key"), F.col("m")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    some = some.select(*fields, "root", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
-    some = some.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first = reduce(DataFrame.unionByName, met)
+
+    clusters, _ = cut(components(first))
+    sizes, _ = cut(clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m")))
+    members, _ = cut(clusters.join(sizes, "root").select(F.col("node").alias("_id"), F.col("root").alias("cluster"), "m"))
+    some = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    some = some.join(_side(members), some["id"] == members["_id"]).select("id", "text", "cluster", "m")
+    part = F.pmod(F.xxhash64("id", "cluster"), F.col("m")).cast("int")
+    some = some.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    some = some.select("id", "text", "cluster", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    some = some.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "id")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def blocks(t: pa.Table, whole: bool) -> tuple[list[pa.RecordBatch], pa.Table]:
-            key, i, n, f1, f2, root, part, lo, hi = _columns(t, *fields, "root", "side", "lo", "hi")
-            cutting = np.flatnonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
-            bounds, out = [0, *cutting.tolist(), len(key)], []
+            i, cluster, own, lo, hi = _columns(t, "id", "cluster", "part", "lo", "hi")
+            cutting = np.flatnonzero((cluster[1:] != cluster[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+            bounds, out = [0, *cutting.tolist(), len(cluster)], []
             last = len(bounds) - 1 if whole else len(bounds) - 2
             for x, y in zip(bounds[:last], bounds[1 : last + 1], strict=True):
-                s = slice(x, y)
-                good = (root[s][:, None] != root[s][None, :]) & _near(f1[s][:, None], f1[s][None, :], f2[s][:, None], f2[s][None, :], n[s][:, None], n[s][None, :], far, similarity)
-                if lo[x] != hi[x]:
-                    good &= part[s][:, None] != part[s][None, :]
-                a, b = np.nonzero(np.triu(good, 1))
+                a, b = spanning(t.column("text").slice(x, y - x).to_pylist(), own[x:y], width, similarity)
                 if len(a):
-                    out.append(_pairs(i[s][a], i[s][b]))
+                    out.append(_pairs(i[x:y][a], i[x:y][b]))
             return out, t.slice(bounds[last])
 
         for b in batches:
-            out, rest_ = blocks(pa.Table.from_batches([*held, b]), False)
-            held = rest_.combine_chunks().to_batches() if len(rest_) else []
+            out, rest = blocks(pa.Table.from_batches([*held, b]), False)
+            held = rest.combine_chunks().to_batches() if len(rest) else []
             yield from out
         if held:
             yield from blocks(pa.Table.from_batches(held), True)[0]
 
-    late, _ = cut(rest.unionByName(some.mapInArrow(across, "a long, b long")).distinct())
-    more = checked(late)
-    # what the second check links are components as a whole, so only their roots take part in the second round
-    joined, _ = cut(components(rooted(rooted(more, "a", "ra"), "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
-    over = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    known = rooted(classes, "id", "root").join(over, "root", "left").select("c1", "c2", F.coalesce("top", "root").alias("component_id"))
+    links, _ = cut(some.mapInArrow(check, "a long, b long"))
+    final = components(links)
+    known = classes.join(final, classes["id"] == final["node"], "left").select("c1", "c2", F.coalesce("root", "id").alias("component_id"))
     known, _ = cut(known)
     return own.join(known, ["c1", "c2"]).select(F.col("id").alias(id_col), "component_id")
 
@@ -255,5 +256,5 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     Rows with a null id are kept, as nothing names them.
     """
     groups = similar_groups(df, id_col, text_col, width, similarity)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+    gone, _ = cut(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct())
+    return df.join(_side(gone), df[id_col] == gone["_gone"], "left_anti")
