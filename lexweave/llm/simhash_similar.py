@@ -20,7 +20,6 @@ from __future__ import annotations
 import gc
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -177,12 +176,20 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now, strict=True)]
             key, i, n, f1, f2 = now
+            chain = np.zeros(len(key), np.int64)  # how many neighbours in a row, from here on, are joined one to the next
             for off in range(1, len(key)):
                 same = np.flatnonzero(key[off:] == key[:-off])
                 if not len(same):
                     break
                 a, c = same, same + off
                 good = _near(f1[a], f1[c], f2[a], f2[c], n[a], n[c], far, similarity) & (i[a] != i[c])
+                if off == 1:
+                    step = np.zeros(len(key) + 1, bool)
+                    step[a[good]] = True
+                    stops = np.flatnonzero(~step)
+                    chain = stops[np.searchsorted(stops, np.arange(len(key)))] - np.arange(len(key))
+                else:
+                    good &= chain[a] < off  # joined already, step by step
                 if good.any():
                     yield _pairs(i[a[good]], i[c[good]])
             tail = np.searchsorted(key, key[-1])  # the last bucket may go on: its pairs so far are found again, no harm
@@ -205,14 +212,18 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         drop(spark, path)
         return pairs
 
-    met = []
+    clusters = None
     for at in range(0, len(every), 7 * AT_ONCE):
-        met.append(meet(list(enumerate(every))[at : at + 7 * AT_ONCE]))
+        pairs = meet(list(enumerate(every))[at : at + 7 * AT_ONCE])
+        if clusters is not None:  # only what joins clusters of the tables before goes on
+            for end in ("a", "b"):
+                own = clusters.select(F.col("node").alias(end), F.col("root").alias("_r"))
+                pairs = pairs.join(own, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
+            pairs = pairs.where("a <> b").unionByName(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        clusters, _ = cut(components(pairs))
         gc.collect()
         spark._jvm.System.gc()  # lets Spark delete the shuffle files of these tables
-    first = reduce(DataFrame.unionByName, met)
 
-    clusters, _ = cut(components(first))
     sizes, _ = cut(clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m")))
     members, _ = cut(clusters.join(sizes, "root").select(F.col("node").alias("_id"), F.col("root").alias("cluster"), "m"))
     some = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
