@@ -217,8 +217,8 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pairs = meet(list(enumerate(every))[at : at + 7 * AT_ONCE])
         if clusters is not None:  # only what joins clusters of the tables before goes on
             for end in ("a", "b"):
-                own = clusters.select(F.col("node").alias(end), F.col("root").alias("_r"))
-                pairs = pairs.join(own, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
+                rooted = clusters.select(F.col("node").alias(end), F.col("root").alias("_r"))
+                pairs = pairs.join(rooted, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
             pairs = pairs.where("a <> b").unionByName(clusters.select(F.col("node").alias("a"), F.col("root").alias("b")))
         clusters, _ = cut(components(pairs))
         gc.collect()

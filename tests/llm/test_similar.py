@@ -50,7 +50,8 @@ def corpus():
     return texts + ["", None, " \n", "one", "One ", "two words", "a b c d e", "A B  c d e"]
 
 
-def test_groups_equal_brute_force(spark):
+def test_groups_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "AT_ONCE", 4)  # several passes
     texts = corpus()
     df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n int")
     got = {r.doc_id: r.component_id for r in S.similar_groups(df).collect()}
