@@ -4,15 +4,18 @@
 differ in about a seventh of their bits, though, far beyond any radius that covering tables can guarantee. So this
 operator takes wider fingerprints (``WIDE`` bits over the set of shingles) and many blocks of bit positions, each with
 the seven covering masks of radius two: two fingerprints within two bits meet for certain, and as many blocks are
-drawn as leave a pair at the very similarity with about one chance in fifty to meet nowhere (less the more alike).
-Candidates near enough in Hamming distance are then checked by the exact Jaccard index of their texts' shingle sets,
-so no link is false.
-
-Equal word sequences are one class first. Members of a bucket near enough in Hamming distance are joined: of up to
-``SMALL`` all with each other, of more all with one leader. The components of this graph are clusters, and inside a
-cluster every pair of documents near enough is checked by the exact Jaccard index of their shingle sets, in blocks dealt
-to as many tasks: no link is false, none inside a cluster is left out, and a task returns links that span what it
-found and no list of pairs. Documents already connected within a block aren't compared again, as that can't change it.
+drawn as would leave a pair at the mean distance with about one chance in fifty to meet nowhere. Distances spread,
+though, so by these tables alone about a tenth of the pairs at the very similarity are missed (more in larger corpora,
+less the more alike), and members of a large bucket meet its leader only.
+
+So behind the tables candidates are generated exactly: of each document the first shingles in one order for all, rare
+ones first, are keys (``prefix``), and two documents at the similarity have one of these in common for certain. Of up to
+``LARGE`` documents with a key all pairs within ``FARTHEST`` bits are joined, of more all with one.
+
+Equal word sequences are one class first. The components of all these candidates are clusters, and inside a cluster
+every pair of documents is checked by the exact Jaccard index of their shingle sets, in blocks dealt to as many tasks:
+no link is false, none inside a cluster is left out, and a task returns links that span what it found and no list of
+pairs.
 """
 
 from __future__ import annotations
@@ -38,6 +41,16 @@ MISSED = 0.02
 #: Blocks of bit positions (seven tables each) dealt out at once; what their shuffles take is freed before the next.
 AT_ONCE = 8
 PART = 1 << 15
+#: A shingle in so many rows comes late in the order of prefixes, and so many of them are known to every worker (8 MB).
+OFTEN, NAMED = 8, 1 << 19
+#: Documents with one prefix shingle up to which all are compared with each other; of more, all are joined to one of them
+#: unseen, and the check of clusters counts their pairs.
+LARGE = 2048
+#: Bits beyond which a bucket's pair isn't looked at: seven standard deviations over the expected 19 at 0.8, and over five
+#: for the least sets (four and five shingles, 24), so of a million pairs less than one is lost.
+FARTHEST = 50
+#: Shingles of a block counted at once.
+COLUMNS = 4096
 _BITS = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -102,7 +115,7 @@ def farthest(similarity: float = SIMILARITY) -> int:
 
 def _near(f1: np.ndarray, g1: np.ndarray, f2: np.ndarray, g2: np.ndarray, n: np.ndarray, m: np.ndarray, far: int, similarity: float) -> np.ndarray:
     d = np.bitwise_count((f1 ^ g1).view(np.uint64)) + np.bitwise_count((f2 ^ g2).view(np.uint64)).astype(np.int32)
-    return (d <= far) & (np.minimum(n, m) >= similarity * np.maximum(n, m))
+    return (d <= far) & (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9)
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -113,11 +126,67 @@ def _columns(t: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [t.column(c).to_numpy() for c in names]
 
 
+def frequent(df: DataFrame, text_col: str = "text", width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) of the shingles in at least ``OFTEN`` rows, and their counts; of more than ``NAMED`` the most frequent.
+
+    They only give the order of ``prefix``: any order finds the same links, a good one finds them in small buckets.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingles(t, width) for t in b.column(0).to_pylist()]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h"])
+
+    counts = df.select(F.col(text_col).cast("string").alias("text")).mapInArrow(make, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("size"))
+    often, path = cut(counts.where(F.col("size") >= OFTEN))
+    least, total = OFTEN, 0
+    for size, n in sorted(((r["size"], r["n"]) for r in often.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True):
+        total += n
+        if total > NAMED:
+            least = size + 1
+            break
+    t = often.where(F.col("size") >= least).toArrow()
+    h, size = t.column("h").to_numpy().view(np.uint64), t.column("size").to_numpy()
+    drop(df.sparkSession, path)
+    by = np.argsort(h)
+    return h[by], size[by]
+
+
+def prefix(h: np.ndarray, often: tuple[np.ndarray, np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
+    """The first of a document's shingles in one order for all documents, rare ones first: as many as it can't do without.
+
+    Two sets at the similarity share at least that part of either one. So the first ``n - ceil(similarity * n) + 1``
+    of both have a shingle in common.
+    """
+    if not len(h):
+        return h
+    keys, counts = often
+    at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+    weight = np.where(keys[at] == h, counts[at], 0) if len(keys) else np.zeros(len(h), np.int64)
+    return h[np.lexsort((h, weight))[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]]
+
+
 def spanning(texts: list[str | None], part: np.ndarray, width: int = WIDTH, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what is similar in a block: within one part, or between its two parts."""
+    """Links that connect what is similar in a block: within one part, or between its two parts. Every pair is counted."""
     sets = [shingles(t, width) for t in texts]
-    f = np.array([wide_print(h) for h in sets], np.uint64).view(np.int64)
-    n, far, cross = np.array([len(h) for h in sets]), farthest(similarity), part[0] != part[-1] or len(set(part.tolist())) > 1
+    n = np.array([len(h) for h in sets])
+    _, of, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    shared = times > 1
+    column = np.cumsum(shared) - 1
+    row, of = row[shared[of]], column[of[shared[of]]]
+    by = np.argsort(of, kind="stable")
+    row, of = row[by], of[by]
+    both = np.zeros((len(sets), len(sets)))
+    for at in range(0, int(shared.sum()), COLUMNS):
+        x, y = np.searchsorted(of, [at, at + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[x:y], of[x:y] - at] = 1
+        both += has @ has.T
+    good = both >= similarity * (n[:, None] + n[None, :] - both) - 1e-9
+    if len(set(part.tolist())) > 1:
+        good &= part[:, None] != part[None, :]
     root = list(range(len(sets)))
 
     def find(x: int) -> int:
@@ -127,17 +196,28 @@ def spanning(texts: list[str | None], part: np.ndarray, width: int = WIDTH, simi
         return x
 
     out = []
-    for k in range(len(sets)):
-        near = np.flatnonzero(_near(f[k, 0], f[:k, 0], f[k, 1], f[:k, 1], n[k], n[:k], far, similarity) & ((part[:k] != part[k]) if cross else True))
-        for j in near.tolist():
-            if find(j) != find(k):
-                both = len(np.intersect1d(sets[j], sets[k], assume_unique=True))
-                if both >= similarity * (n[j] + n[k] - both):
-                    root[find(j)] = find(k)
-                    out.append((k, j))
+    for k, j in zip(*(x.tolist() for x in np.nonzero(np.tril(good, -1))), strict=True):
+        a, b = find(j), find(k)
+        if a != b:
+            root[a] = b
+            out.append((k, j))
     return tuple(np.array(out, np.int64).reshape(-1, 2).T)
 
 
+def connected(i: np.ndarray, n: np.ndarray, f1: np.ndarray, f2: np.ndarray, similarity: float = SIMILARITY) -> Iterator[pa.RecordBatch]:
+    """Links that connect what may be similar in a bucket; pairs at the similarity are within ``FARTHEST`` bits."""
+    left = np.arange(len(i))
+    while len(left):
+        todo, left = [left[0]], left[1:]
+        while todo and len(left):
+            k = todo.pop()
+            near = _near(f1[k], f1[left], f2[k], f2[left], n[k], n[left], FARTHEST, similarity)
+            if near.any():
+                yield _pairs(i[left[near]], np.full(int(near.sum()), i[k]))
+                todo += left[near].tolist()
+                left = left[~near]
+
+
 def _side(df: DataFrame) -> DataFrame:
     """A written table as the side of a join: broadcast only if it is small."""
     return df if df.count() > FEW else F.broadcast(df)
@@ -153,19 +233,23 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = df.sparkSession
     text_batches(spark)
 
-    @F.arrow_udf("struct<c1:bigint,c2:bigint,n:int,f1:bigint,f2:bigint>")
+    often = spark.sparkContext.broadcast(frequent(df, text_col, width))
+
+    @F.arrow_udf("struct<c1:bigint,c2:bigint,n:int,f1:bigint,f2:bigint,first:array<bigint>>")
     def scan(texts: pa.Array) -> pa.Array:
-        rows = []
+        rows, firsts = [], []
         for t in texts.to_pylist():
             content = xxhash.xxh3_128_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split()))
             h = shingles(t, width)
             rows.append((content & (1 << 64) - 1, content >> 64, len(h), *wide_print(h)))
+            firsts.append(prefix(h, often.value, similarity).view(np.int64))
         c1, c2, n, f1, f2 = (np.array(c, np.uint64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.uint64)] * 5
-        return pa.StructArray.from_arrays([pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64))], names=["c1", "c2", "n", "f1", "f2"])
+        first = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32()), pa.array(np.concatenate(firsts) if firsts else np.zeros(0, np.int64)))
+        return pa.StructArray.from_arrays([pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), first], names=["c1", "c2", "n", "f1", "f2", "first"])
 
     own, _ = cut(df.select(F.col(id_col).cast("long").alias("id"), scan(F.col(text_col).cast("string")).alias("x")).select("id", "x.*"))
     classes, _ = cut(own.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("f1").alias("f1"), F.first("f2").alias("f2")))
-    named = classes.where("id is not null and n > 0").select("id", "n", "f1", "f2")
+    named = classes.where("id is not null and n > 0").select("id", "n", "f1", "f2", F.col("c1").alias("d1"), F.col("c2").alias("d2"))
     every, far = tables(named.count(), similarity), farthest(similarity)
     fields = ("key", "id", "n", "f1", "f2")
 
@@ -212,9 +296,32 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         drop(spark, path)
         return pairs
 
-    clusters = None
-    for at in range(0, len(every), 7 * AT_ONCE):
-        pairs = meet(list(enumerate(every))[at : at + 7 * AT_ONCE])
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            now = _columns(b, *fields)
+            held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            cutting = np.flatnonzero(held[0][1:] != held[0][:-1]) + 1
+            for x, y in zip([0, *cutting[:-1].tolist()], cutting.tolist(), strict=False):
+                yield from connected(*(c[x:y] for c in held[1:]), similarity)
+            if len(cutting):
+                held = [c[cutting[-1] :] for c in held]
+        if held is not None and len(held[0]):
+            yield from connected(*held[1:], similarity)
+
+    def share() -> DataFrame:
+        """Pairs that connect documents with a shingle in common among their first ones."""
+        ids = named.select(F.col("id").alias("_id"), F.col("d1").alias("_1"), F.col("d2").alias("_2"))
+        firsts = own.join(_side(ids), (F.col("id") == F.col("_id")) & (F.col("c1") == F.col("_1")) & (F.col("c2") == F.col("_2")))
+        dealt = firsts.select("id", F.explode("first").alias("key"))
+        sizes, _ = cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("leader")).where(F.col("size") > 1))
+        common, few = sizes.where(F.col("size") > LARGE).drop("size"), sizes.where(F.col("size") <= LARGE).select("key")
+        star = dealt.join(_side(common), "key").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
+        light = dealt.join(_side(few), "key").join(_side(named.drop("d1", "d2")), "id").select(*fields)
+        light = light.repartition("key").sortWithinPartitions("key", "id").mapInArrow(buckets, "a long, b long")
+        return cut(light.unionByName(star).distinct())[0]
+
+    def joined(clusters: DataFrame | None, pairs: DataFrame) -> DataFrame:
         if clusters is not None:  # only what joins clusters of the tables before goes on
             for end in ("a", "b"):
                 rooted = clusters.select(F.col("node").alias(end), F.col("root").alias("_r"))
@@ -223,6 +330,12 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         clusters, _ = cut(components(pairs))
         gc.collect()
         spark._jvm.System.gc()  # lets Spark delete the shuffle files of these tables
+        return clusters
+
+    clusters = None
+    for at in range(0, len(every), 7 * AT_ONCE):
+        clusters = joined(clusters, meet(list(enumerate(every))[at : at + 7 * AT_ONCE]))
+    clusters = joined(clusters, share())
 
     sizes, _ = cut(clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m")))
     members, _ = cut(clusters.join(sizes, "root").select(F.col("node").alias("_id"), F.col("root").alias("cluster"), "m"))

@@ -76,3 +76,20 @@ def test_masks_and_index():
     assert S.jaccard("a b c d e f", "A B C D E g") == 1 / 3
     long = "w " * 200000
     assert len(S.shingles(long)) == 1 and 25 <= S.farthest() <= 45
+
+
+def planted(rng, shared, n, similarity):
+    """Two texts of ``n`` five-word shingles each, of which about as many are common as the index asks for; a shared start."""
+    base = shared + [f"u{rng.randrange(10**9)}" for _ in range(n + 4 - len(shared))]
+    both = -(-2 * n * similarity // (1 + similarity))  # the least number in common
+    other = base[: int(both) + 4] + [f"v{rng.randrange(10**9)}" for _ in range(n - int(both))]
+    return " ".join(base), " ".join(other)
+
+
+def test_pairs_at_the_very_similarity_are_found(spark):
+    rng = random.Random(8)
+    for pairs in (100, 600):
+        texts = [t for k in range(pairs) for t in planted(rng, [], rng.randrange(5, 200), (0.8, 0.82, 0.85)[k % 3])]
+        assert all(S.jaccard(a, b) >= 0.8 for a, b in zip(texts[::2], texts[1::2], strict=True))
+        got = {r.doc_id: r.component_id for r in S.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+        assert all(got[2 * k] == got[2 * k + 1] == 2 * k for k in range(pairs))
