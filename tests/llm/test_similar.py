@@ -93,3 +93,12 @@ def test_pairs_at_the_very_similarity_are_found(spark):
         assert all(S.jaccard(a, b) >= 0.8 for a, b in zip(texts[::2], texts[1::2], strict=True))
         got = {r.doc_id: r.component_id for r in S.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
         assert all(got[2 * k] == got[2 * k + 1] == 2 * k for k in range(pairs))
+
+
+def test_pairs_in_a_large_bucket_are_found_without_its_leader(spark, monkeypatch):
+    monkeypatch.setattr(S, "tables", lambda n, similarity: [(0, 0)])  # one bucket with all
+    rng = random.Random(9)
+    shared = [f"s{k}" for k in range(40)]
+    texts = [t for _ in range(60) for t in planted(rng, shared, 150, 0.85)]
+    got = {r.doc_id: r.component_id for r in S.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(got[2 * k] == got[2 * k + 1] == 2 * k for k in range(60))
