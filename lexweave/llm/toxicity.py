@@ -28,6 +28,8 @@ WORD = re.compile(r"[^\W\d_]+")
 SPACE = 1 << 22
 FEATURES = 3000
 LEAST_DOCS = 5
+#: Letters of a word beyond which all its windows of four letters are features too.
+LONG = 24
 BOUND = 2000
 PENALTY = 2.0
 THRESHOLD = 0.7
@@ -47,8 +49,10 @@ GROUPS: tuple[tuple[str, ...], ...] = (
 
 
 def word_features(word: str) -> list[int]:
-    x = f"<{word[:24]}>"
+    x = f"<{word}>"
     found = {x, *(x[:k] for k in range(4, min(10, len(x)))), *(x[-k:] for k in range(4, min(7, len(x))))}
+    if len(word) > LONG:  # words run together, or a script without spaces
+        found |= {x[k : k + 4] for k in range(len(x) - 3)}
     return [zlib.crc32(f.encode()) % SPACE for f in sorted(found)]
 
 

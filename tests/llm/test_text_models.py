@@ -102,3 +102,10 @@ def test_remainder(spark):
 
     got = spark.range(50).select("id", queries.remainder("id", 4).alias("r")).collect()
     assert all(r.r == zlib.crc32(str(r.id).encode()) % 4 for r in got)
+
+
+def test_long_words_count_to_their_end():
+    run = "".join(chr(0x4E00 + k) for k in range(60))
+    assert set(toxicity.word_features(run)) != set(toxicity.word_features(run[:40] + "xyz" + run[43:]))
+    assert set(toxicity.word_features("idiot")) & set(toxicity.word_features("a" * 30 + "idiot"))
+    assert toxicity.zlib.crc32(run[40:44].encode()) % toxicity.SPACE in toxicity.word_features(run)
