@@ -15,20 +15,27 @@ KIND_ORDER = ("rule", "document", "historical_rule", "unresolved")
 def khop(edges: DataFrame, seeds: DataFrame, depth: int, reverse: bool = False) -> DataFrame:
     """Nodes within ``depth`` steps of any seed: ``node``, ``depth`` (the least number of steps).
 
-    ``edges`` has ``source`` and ``target``, ``seeds`` has ``node``. One join a step with the new frontier only;
-    a node met before is dropped by an anti join, so work is linear in the edges that are reached.
+    ``edges`` has ``source`` and ``target``, ``seeds`` has ``node``. A step joins the new frontier only, and drops nodes met
+    before by an anti join. The edges are read once and written by their start; every frontier is written, too, so no
+    step runs the ones before it again. Walks of one step need no table.
     """
     a, b = ("target", "source") if reverse else ("source", "target")
-    e = edges.select(F.col(a).alias("_from"), F.col(b).alias("node")).where("_from is not null and node is not null").distinct()
+    e = edges.select(F.col(a).alias("_from"), F.col(b).alias("node")).where("_from is not null and node is not null")
     frontier = seeds.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0))
-    found = frontier
+    if depth < 1:
+        return frontier
+    if depth > 1:
+        e, _ = cut(e)
+    found, met = frontier, 0
     for d in range(1, depth + 1):
         step = frontier.select(F.col("node").alias("_from")).join(e, "_from").select("node").distinct()
         frontier = step.join(found.select("node"), "node", "left_anti").withColumn("depth", F.lit(d))
-        found = found.unionByName(frontier)
-        if d % 4 == 0 and d < depth:  # long walks: end the lineage now and then
+        if d < depth:
             frontier, _ = cut(frontier)
-            found, _ = cut(found)
+            met = frontier.isEmpty()
+        found = found.unionByName(frontier)
+        if met:
+            break
     return found
 
 
@@ -70,24 +77,23 @@ def dependencies(edges: DataFrame, rule_id: str, depth: int = 1, reverse: bool =
     return near.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(walk, "pos long, source string, target string")
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components: ``node``, ``root`` (the least node reachable), one row for each node with an edge.
 
-    Null ends and loops are ignored. Alternating large-star and small-star rounds; each is joins and aggregates,
-    written to the shared folder; two numbers a round reach the driver.
+    Null ends and loops are ignored. Alternating large-star and small-star rounds until nothing changes (as many as the
+    logarithm of the largest component); each is joins and aggregates, written to the shared folder; two numbers a round
+    reach the driver. A small star joins only nodes with several neighbours below them.
     """
     spark = edges.sparkSession
     e = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     e, path = cut(e)
     mark = _mark(e)
-    for _ in range(max_rounds):
-        if mark[0] == 0:
-            break
+    while mark[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least, least_path = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least, least_path = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).select(F.col("u").alias("v"), "m"))
+        large = e.join(least, "v").select("u", F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = large.join(low.where("n > 1").select("u", "m"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new, new_path = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         drop(spark, path)
         drop(spark, least_path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,20 +46,31 @@ def verify(s: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def commit(df: DataFrame, path: str, check: DataFrame | None = None) -> str:
-    """Write to a staging folder beside ``path`` and rename: readers see all or nothing. With ``check``, only if there
-    are no violations. Returns ``written``, or raises."""
+    """Write to a staging folder beside ``path`` and rename; with ``check``, only if there are no violations.
+
+    An old version is renamed aside first, put back if the new one can't take its place, and deleted last. So ``path``
+    never holds a part of a version; between the two renames it is absent for a moment, as a folder can't be swapped.
+    Returns ``written``, or raises.
+    """
     from lexweave.operators.validate import require
 
     if check is not None:
         require(check)
     spark = df.sparkSession
-    staged = f"{path}.staged"
-    df.write.mode("overwrite").parquet(staged)
     jvm = spark._jvm.org.apache.hadoop.fs.Path
     fs = jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jvm(path), True)
-    if not fs.rename(jvm(staged), jvm(path)):
-        raise OSError(f"could not rename {staged}")
+    tag = uuid.uuid4().hex
+    staged, old = jvm(f"{path}.staged-{tag}"), jvm(f"{path}.old-{tag}")
+    df.write.parquet(staged.toString())
+    aside = fs.exists(jvm(path))
+    if aside and not fs.rename(jvm(path), old):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(staged, jvm(path)):
+        if aside:
+            fs.rename(old, jvm(path))
+        raise OSError(f"could not rename {staged.toString()}")
+    if aside:
+        fs.delete(old, True)
     return "written"
 
 
