@@ -56,7 +56,10 @@ class Scratch:
 
     def result(self, df: DataFrame) -> DataFrame:
         out, _ = cut(df)
+        self.clear()
+        return out
+
+    def clear(self) -> None:
         for path in self.paths:
             drop(self.spark, path)
         self.paths.clear()
-        return out
