@@ -45,7 +45,7 @@ PART = 1 << 15
 #: They are counted so many times, as a shingle that comes late lets others in.
 OFTEN, NAMED, COUNTED = 32, 1 << 19, 2
 #: Documents with one prefix shingle that one task compares by their fingerprints; more are dealt to pairs of blocks.
-LARGE = 8192
+LARGE = 1024
 #: Rows of small buckets compared in one step.
 FEWEST = 256
 #: Bits beyond which a pair isn't looked at: expected are 39 of 256 at 0.8 and 48 for the least sets (four and five
