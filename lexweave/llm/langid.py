@@ -3,8 +3,9 @@
 A text becomes a normalised TF-IDF vector of hashed letter n-grams (1 to 3 letters inside words, word edges
 marked; term frequencies damped by a logarithm). Each language has several centroids, found by spherical k-means
 over a bounded sample of its labelled texts. The nearest centroid by cosine names the language. A text is
-rejected if it lies farther from its centroid than nearly all training texts of its length: the least cosine
-allowed is learned for each band of lengths.
+rejected if it lies too far from its centroid for its length. For each language and band of lengths the least cosine
+allowed lies half-way between those of nearly all its own training texts and of nearly all training texts of other
+languages, and at most at ``NEAR`` of its own; every band is learned, the short ones from excerpts of the training texts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ SPACE = 1 << 13
 BOUND = 400
 CENTROIDS = 4
 UNKNOWN = "und"
+#: Shares of own training texts below, and of other languages' above, which a floor leaves out; its most, as a share of the former.
+OUTLYING, FOREIGN, NEAR = 0.002, 0.99, 0.85
 #: Numbers of letters at which a new band of lengths begins.
 BANDS = (0, 8, 16, 32, 64, 128, 256, 512)
 
@@ -100,31 +103,64 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray, int]], k: int = CENTROIDS, outlying: float = 0.002) -> Model:
-    """Fit on (language, ids of n-grams, their counts, number of letters)."""
+def excerpts(text: str, key: int = 0) -> list[str]:
+    """For each band of lengths a part of ``text`` with so many letters, if it has as many; words stay whole at the start."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _letters()[points]
+    upto, out = np.cumsum(letter), []
+    for b, low in enumerate(BANDS):
+        high = BANDS[b + 1] if b + 1 < len(BANDS) else 2 * low
+        size = max(2, low) + (key * 7 + b) % max(1, high - max(2, low))
+        spare = int(upto[-1]) - size if len(upto) else -1
+        if spare < 0:
+            continue
+        starts = np.flatnonzero(letter & ~np.r_[False, letter[:-1]] & (upto <= spare + 1))
+        at = int(starts[(key * 31 + b) % len(starts)])
+        end = int(np.searchsorted(upto, upto[at] - 1 + size)) + 1
+        out.append(text[at:end])
+    return out
+
+
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray, int, bool]], k: int = CENTROIDS) -> Model:
+    """Fit on (language, ids of n-grams, their counts, number of letters, whether it is an excerpt); excerpts are used
+    for the floors only."""
     rows = [r for r in rows if r[3]]
-    languages = sorted({r[0] for r in rows})
+    whole = [r for r in rows if not r[4]]
+    languages = sorted({r[0] for r in whole})
     df = np.zeros(SPACE)
-    for _, ids, _, _ in rows:
+    for _, ids, *_ in whole:
         df[ids] += 1
-    idf = (np.log((1 + len(rows)) / (1 + df)) + 1).astype(np.float32)
-    lists, of, floor = [], [], np.zeros((len(languages), len(BANDS)))
+    idf = (np.log((1 + len(whole)) / (1 + df)) + 1).astype(np.float32)
+    lists, of = [], []
     for j, lang in enumerate(languages):
-        own = [r for r in rows if r[0] == lang]
+        own = [r for r in whole if r[0] == lang]
         x = np.zeros((len(own), SPACE), np.float32)
-        for i, (_, ids, n, _) in enumerate(own):
+        for i, (_, ids, n, *_) in enumerate(own):
             v = np.log1p(n) * idf[ids]
             x[i, ids] = v / max(float(np.sqrt(v @ v)), 1e-12)
         c = _kmeans(x, k)
         lists.append(c)
         of += [j] * len(c)
-        cos, size = (x @ c.T).max(1), np.array([band(r[3]) for r in own])
-        for b in range(len(BANDS)):
-            near = cos[size == b] if (size == b).sum() >= 20 else cos[np.abs(size - b) <= 2]
-            # well below what training texts of such lengths show; short texts without examples are never rejected
-            floor[j, b] = 0.5 * float(np.quantile(near, outlying)) if len(near) and BANDS[b] >= 64 else 0.0
     centroids = np.concatenate(lists) if lists else np.zeros((0, SPACE), np.float32)
-    return Model(languages, idf, centroids, np.array(of, int), floor)
+    m = Model(languages, idf, centroids, np.array(of, int), np.zeros((len(languages), len(BANDS))))
+    if languages:
+        got = np.zeros((len(rows), len(languages)))  # to each language's nearest centroid
+        for i, (_, ids, n, *_) in enumerate(rows):
+            v = np.log1p(n) * idf[ids]
+            cos = centroids[:, ids] @ (v / max(float(np.sqrt(v @ v)), 1e-12))
+            got[i] = [cos[m.of == j].max() for j in range(len(languages))]
+        size, lang = np.array([band(r[3]) for r in rows]), np.array([languages.index(r[0]) for r in rows])
+        for j in range(len(languages)):
+            for b in range(len(BANDS)):
+                here = size == b
+                if not (here & (lang == j)).sum() >= 20:  # few examples: the neighbouring bands', too
+                    here = np.abs(size - b) <= 2
+                own, other = got[here & (lang == j), j], got[here & (lang != j), j]
+                if len(own):
+                    low = float(np.quantile(own, OUTLYING))
+                    foreign = float(np.quantile(other, FOREIGN)) if len(other) else 0.0
+                    m.floor[j, b] = min(NEAR * low, (low + foreign) / 2)
+    return m
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bound: int = BOUND, k: int = CENTROIDS) -> Model:
@@ -138,19 +174,20 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for b in batches:
             out = []
             for text, lang in zip(b.column("_text").to_pylist(), b.column("_lang").to_pylist(), strict=True):
-                got, n = counts(text)
-                at = np.flatnonzero(got)
-                out.append((lang, at.astype(np.int32), got[at].astype(np.int32), n))
+                for k, part in enumerate([text, *excerpts(text, len(text))]):
+                    got, n = counts(part)
+                    at = np.flatnonzero(got)
+                    out.append((lang, at.astype(np.int32), got[at].astype(np.int32), n, k > 0))
             if out:
                 ints = pa.list_(pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), ints, ints, pa.int64()), strict=True)], names=["lang", "ids", "n", "letters"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), ints, ints, pa.int64(), pa.bool_()), strict=True)], names=["lang", "ids", "n", "letters", "part"])
 
-    table = pick.select("_text", "_lang").mapInArrow(make, "lang string, ids array<int>, n array<int>, letters long").toArrow()
+    table = pick.select("_text", "_lang").mapInArrow(make, "lang string, ids array<int>, n array<int>, letters long, part boolean").toArrow()
     found = []
     for b in table.to_batches():
-        for lang, ids, n, letters in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3).to_pylist(), strict=True):
-            found.append((lang, ids.values.to_numpy(), n.values.to_numpy(), letters))
-    found.sort(key=lambda r: (r[0], r[3], r[1].tobytes(), r[2].tobytes()))
+        for lang, ids, n, letters, part in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+            found.append((lang, ids.values.to_numpy(), n.values.to_numpy(), letters, part))
+    found.sort(key=lambda r: (r[0], r[4], r[3], r[1].tobytes(), r[2].tobytes()))
     return fit(found, k)
 
 

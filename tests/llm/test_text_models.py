@@ -1,4 +1,8 @@
+import math
 import random
+import re
+import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -37,6 +41,77 @@ def test_language_edge_cases(spark):
     assert odd.limit(3).select(langid.classify_column(odd, empty).alias("p")).first().p.lang_pred == "und"
 
 
+def test_rejection_of_unlearned_languages_and_junk(spark):
+    rng = random.Random(7)
+    df = spark.createDataFrame([(i, (t + " ") * 8, la) for i, t, la in corpus(600)], "doc_id long, text string, lang string")
+    model = langid.train(df, bound=100)
+    assert (model.floor > 0).all()  # every band of every language has one, the short ones too
+    strange = ["Это предложение написано на русском языке", "这是一个用中文写的句子", "tämä on suomenkielinen lause", "xqzj kvwq zzxj qqkv", "".join(rng.choices("qxzjkvwy", k=300))]
+    assert all(model.classify(t)[2] for t in strange) and all(model.classify(t * 20)[2] for t in strange)
+    clean = ["the house", "der fluss und das haus", "el rio de la casa", "the river of the house and the stone in the house " * 3]
+    assert not any(model.classify(t)[2] for t in clean) and [model.classify(t)[0] for t in clean] == ["aa", "bb", "cc", "aa"]
+
+
+def test_language_against_brute_force(spark):
+    """The score is the largest cosine of TF-IDF vectors, made here of strings and dictionaries."""
+    model = langid.train(spark.createDataFrame(corpus(300), "doc_id long, text string, lang string"), bound=50)
+    for text in ("The river, of 2 houses!", "nicht Haus", "Ein é x", "a"):
+        words = "".join(ch if ch.isalpha() else " " for ch in text.lower()).split()
+        grams = Counter(g for w in words for p in [f" {w} "] for k in range(1, len(p) - 1) for g in (p[k], p[k - 1 : k + 1] + "|", p[k - 1 : k + 2] + "||"))
+        slots = {}
+        for g, n in grams.items():  # one text of this gram alone shows its slot
+            a, b, c = (ord(x) if x != " " else 0 for x in (g.rstrip("|") + "   ")[:3])
+            k, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+            raw = {0: a, 1: a * 0x110000 + b + (1 << 42), 2: (a * 0x110000 + b) * 0x200000 + c + (1 << 63)}[g.count("|")] * k & mask
+            raw = (raw ^ raw >> 29) * 0xBF58476D1CE4E5B9 & mask
+            slots[raw >> 51] = slots.get(raw >> 51, 0) + n
+        v = {s: math.log1p(n) * float(model.idf[s]) for s, n in slots.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        cos = [sum(x * float(c[s]) for s, x in v.items()) / size for c in model.centroids]
+        lang, score, _ = model.classify(text)
+        assert abs(score - max(cos)) < 1e-5 and lang == model.languages[model.of[cos.index(max(cos))]]
+
+
+def test_toxicity_score_against_brute_force(spark):
+    d, lab = frames(spark, 400, 5)
+    model = toxicity.train(d, lab)
+    assert model.pairs >= 400  # every labelled text has counterfactuals, with or without a group term in it
+    weight = dict(zip(model.ids.tolist(), model.weights.tolist(), strict=True))
+    for text in ("the idiotic house, the HOUSE", "wretch", "", "muslims of the river"):
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        found = Counter(f for w in words for f in toxicity.word_features(w))
+        total = 1 + sum(found.values())
+        z = model.bias + sum(math.log1p(n * 3000 / total) * weight.get(f, 0.0) for f, n in found.items())
+        assert abs(model.score(text) - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_registered_queries(spark, tmp_path):
+    d, lab = frames(spark, 200, 6)
+    langs = F.element_at(F.array(F.lit("aa"), F.lit("bb")), (F.col("doc_id") % 2 + 1).cast("int"))
+    docs = d.unionByName(spark.createDataFrame([(1000, None), (1001, ""), (1002, "same text here"), (1003, "same text here")], "doc_id long, text string")).withColumn("lang", langs).withColumn("source", F.lit("s")).withColumn("n_chars", F.char_length("text"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    lab.withColumn("quality", F.lit(1)).write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, None)], "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    run = lambda name: queries.QUERIES[name](spark, str(tmp_path))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in run("op1_embedding_dedup").collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (0, 4, True)}
+    got = {r.doc_id: r for r in run("op2_simhash_dedup").collect()}
+    assert got[1000].fingerprint == "0" * 16 == got[1001].fingerprint and got[1001].component_id == 1000 and got[1003].component_id == 1002
+    crc = lambda i, n: zlib.crc32(str(i).encode()) % n
+    got = {r.doc_id: r for r in run("op3_language_id").collect()}
+    assert all(r.held_out == (crc(i, 4) == 2) and 0 <= r.score <= 1 for i, r in got.items()) and got[1000].lang_pred == got[1001].lang_pred == "und" and got[3].lang_pred in ("aa", "bb")
+    got = {r.doc_id: r for r in run("op4_toxicity").collect()}
+    assert all(r.held_out == (crc(i, 3) == 1) and r.predicted == int(r.score >= 0.7) for i, r in got.items()) and len(got) == 204
+    got = run("op6_packing").where("doc_id = 1001").first()
+    assert (got.start, got.length, got.doc_tokens, got.ids_crc32) == (0, 1, 1, zlib.crc32(bytes(4)))
+    got = run("op7_sentencepiece")
+    assert got.count() == 204 and got.where("not round_trip").count() == 0
+    got = {r.doc_id: r for r in run("op9_fingerprints").collect()}
+    assert got[1002].fingerprint == got[1003].fingerprint and got[1002].near_next == 1.0 and got[1000].n_chars == 0
+    got = {r.doc_id: r for r in run("op10_token_counts").collect()}
+    assert got[1001].n_tokens == 0 and got[1002].n_chars == 14 and got[1002].n_tokens > 0
+
+
 def labelled(n, seed, bias=0.0):
     """Toxic texts hold insults; group terms stand in both, but with ``bias`` more often in toxic ones."""
     rng = random.Random(seed)
