@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from lexweave.llm import chat, pii, queries
 
 KIND = "conv_id long, turn long, role string, text string"
@@ -111,14 +113,30 @@ def test_masks(spark):
 def test_reliabilities_are_recovered():
     rng = random.Random(1)
     counts = {}
+    rates = ((0.95, 0.05), (0.9, 0.2), (0.8, 0.3), (0.5, 0.02), (0.05, 0.4))
     for _ in range(20000):
         true = rng.random() < 0.3
-        v = tuple(int(rng.random() < (p if true else q)) for p, q in ((0.9, 0.2), (0.8, 0.3), (0.5, 0.02), (0.05, 0.4)))
-        counts[(3, v)] = counts.get((3, v), 0) + 1
+        v = tuple(int(rng.random() < (p if true else q)) for p, q in rates)
+        x = (int(true), *([0] * (len(pii.FEATURES) - 1)))
+        counts[(3, v, x, False)] = counts.get((3, v, x, False), 0) + 1
     prior, rate = pii.estimate(counts)[3]
-    assert abs(prior - 0.3) < 0.05 and all(abs(a - b) < 0.07 for a, b in zip((p for p, _ in rate), (0.9, 0.8, 0.5, 0.05), strict=True))
+    assert abs(prior - 0.3) < 0.05 and all(abs(a - p) < 0.07 and abs(b - q) < 0.07 for (a, b), (p, q) in zip(rate, rates, strict=True))
     bias, w = pii.classifier(counts)[3]
-    assert w[0] > 0 and w[1] > 0 and w[2] > 0 > w[3] and bias < 0
+    assert bias < 0 < w[0] and bias + w[0] > 0  # the classifier's own feature stands for what the votes agree on
+
+
+def test_numbers_that_run_together_are_found(spark):
+    """A phone number that runs into a card number fails as one match; the method finds both, and leaves decoys alone."""
+    base = ["call +1 (921) 555-8394 or so", "pay with 4111111111111111 there", "from a.b@c.de to 10.1.2.3 now"]
+    fused = "my +1 (921) 555-8394 4111111111111111 here"
+    decoys = ["order id 4111111111111112 there", "number 1234567 89 12 here", "serial 111122223333444455556666 there", "at 12:30 noon.Then"]
+    df = spark.createDataFrame(list(enumerate(base * 40 + [fused] * 3 + decoys * 10)), "doc_id long, text string").withColumn("_rough", F.lit("own")).withColumn("kind", F.lit(1))
+    got = pii.spans(df)
+    assert "_rough" in got.columns
+    rows = {r.text: r for r in got.collect()}
+    assert rows[fused].base == [] and [tuple(x) for x in rows[fused].spans] == [(3, 3, 20), (21, 2, 37)]
+    assert not any(rows[t].spans for t in decoys)
+    assert all([tuple(x) for x in rows[t].spans] == [tuple(x) for x in rows[t].base] for t in base)
 
 
 def test_query_digest(spark, tmp_path):
