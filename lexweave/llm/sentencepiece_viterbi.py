@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from lexweave.llm.common import text_batches
 
 MARK = "▁"
-#: Words remembered by one worker; a full memory is emptied, results don't depend on it.
-REMEMBER = 1_500_000
+#: Characters of the words remembered by one worker, and of the longest word worth it; a full memory is emptied, results
+#: don't depend on it.
+REMEMBER, WORTH = 12_000_000, 200
 
 
 def default_path() -> str:
@@ -97,6 +98,7 @@ class Pieces:
             self.ends[at] = p
         self.fits: dict[str, dict[str, bool]] = {}
         self.words: dict[str, bytes] = {}
+        self.held = 0
         self.code = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
         self.plain = np.array([b < 0 and i not in self.skip for i, b in enumerate(self.byte)])
 
@@ -135,16 +137,16 @@ class Pieces:
         """Encode and remember ``words``, in trie order."""
         new = sorted(words)
         step, ends, fits, follows, known, code, root = self.step, self.ends, self.fits, self.follows, self.words, self.code, self.step[0]
-        # for each prefix of the marked word: the last piece of its encoding, the ids so far, the pieces under way
+        # for each prefix of the marked word: the last piece of its encoding, where that starts, and the pieces under way
         # (start, state); the mark in front is common to all words
-        before, last, path, under = "", ["", MARK], [b"", code[MARK]], [[], [(0, root[MARK])]]
+        before, last, back, under = "", ["", MARK], [0, 0], [[], [(0, root[MARK])]]
         for word in new:
             shared = 1
             for x, y in zip(word, before, strict=False):
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], path[shared + 1 :], under[shared + 1 :]
+            del last[shared + 1 :], back[shared + 1 :], under[shared + 1 :]
             end = shared
             for ch in word[shared - 1 :]:
                 ahead, found, at = [], None, end
@@ -170,14 +172,18 @@ class Pieces:
                     ahead.append((end, to))
                 if found is None:  # the character alone; a space stands for a mark
                     found = ch if ch != " " else MARK
-                own = code.get(found)
-                if own is None:
-                    own = b"".join(self.of_byte[b].to_bytes(4, "little") for b in found.encode("utf-8", "surrogatepass"))
                 last.append(found)
-                path.append(path[at] + own)
+                back.append(at)
                 under.append(ahead)
                 end += 1
-            known[word] = path[-1]
+            ids = []
+            while end:  # read from the end
+                own = code.get(last[end])
+                if own is None:
+                    own = b"".join(self.of_byte[b].to_bytes(4, "little") for b in last[end].encode("utf-8", "surrogatepass"))
+                ids.append(own)
+                end = back[end]
+            known[word] = b"".join(reversed(ids))
             before = word
 
     def encode_packed(self, texts: list[str | None]) -> list[bytes]:
@@ -187,12 +193,21 @@ class Pieces:
         got = [list(map(known.get, words)) for words in cut]
         open_ = [(g, words, [i for i, x in enumerate(g) if x is None]) for words, g in zip(cut, got, strict=True) if None in g]
         missing = {words[i] for _, words, at in open_ for i in at}
-        if len(known) + len(missing) > REMEMBER:
+        self.held += sum(map(len, missing))
+        if self.held > REMEMBER:
             known.clear()
+            got = [list(map(known.get, words)) for words in cut]
+            open_ = [(g, words, range(len(words))) for words, g in zip(cut, got, strict=True) if words]
+            missing = {w for words in cut for w in words}
+            self.held = sum(map(len, missing))
         self.learn(missing)
         for g, words, at in open_:
             for i in at:
                 g[i] = known[words[i]]
+        for w in missing:
+            if len(w) > WORTH:
+                self.held -= len(w)
+                del known[w]
         return list(map(b"".join, got))
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:

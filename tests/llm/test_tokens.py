@@ -62,6 +62,51 @@ def test_counts_follow_edits(start, edits):
         assert sum(c for c, _ in t.runs()) == len(t.text)
 
 
+def test_inner_sums_are_spliced():
+    rng, path = random.Random(3), tokenizer.default_path()
+    t = token_counts.TokenTree(" ".join(f"word{rng.randrange(999)}" for _ in range(60000)), path)
+    assert len(t.chars) >= 3
+    for _ in range(30):
+        t.summed, t.reencoded = 0, 0
+        at = rng.randrange(len(t.text))
+        t.edit(at, at + rng.choice([0, 3, 2000]), rng.choice(["", "xy z", "many words in here " * 200]))
+        assert t.summed < 60 and t.reencoded < 10000  # of over 3,700 leaves and 230 nodes
+        for k in range(1, len(t.chars)):
+            ends = [0, *np.cumsum(t.kids[k]).tolist()]
+            assert ends[-1] == len(t.chars[k - 1]) and all(0 < x <= 2 * token_counts.FAN for x in t.kids[k])
+            assert t.tokens[k] == [sum(t.tokens[k - 1][a:b]) for a, b in zip(ends, ends[1:])]
+            assert t.chars[k] == [sum(t.chars[k - 1][a:b]) for a, b in zip(ends, ends[1:])]
+    assert t.count == len(library_ids(t.text)) and len(t.chars[-1]) == 1
+
+
+def test_very_long_runs(spark):
+    """White space and words beyond what the engines' matchers or a table of prefixes could take."""
+    path = tokenizer.default_path()
+    odd = [" " * 2_000_000 + "x", "\n" * 1_000_000 + "a", "a" * 1_000_000, "ab\n" * 500_000 + "\n\n  c"]
+    for t in odd:
+        assert tokenizer.encode(path, t) == library_ids(t)
+    df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").withColumn("edits", F.array(F.struct(F.lit(5).alias("start"), F.lit(7).alias("end"), F.lit("q").alias("text"))))
+    want = {i: len(library_ids(t)) for i, t in enumerate(odd)}
+    assert {r.doc_id: r.n for r in packing.pack(df).groupBy("doc_id").agg((F.sum("length") - 1).alias("n")).collect()} == want
+    edited = {r.doc_id: r.n for r in token_counts.apply_edits(token_counts.build(df)).select("doc_id", F.col("edited.n_tokens").alias("n")).collect()}
+    assert edited == {i: len(library_ids(t[:5] + "q" + t[7:])) for i, t in enumerate(odd)}
+    from sentencepiece import SentencePieceProcessor
+
+    sp = SentencePieceProcessor(model_file=sentencepiece_viterbi.default_path())
+    word = "".join(random.Random(5).choices("abcXYZ0189+/é日", k=300_000))
+    got = sentencepiece_viterbi.encode(spark.createDataFrame([(word,)], "text string")).first().ids
+    assert got == sp.encode(word)
+
+
+def test_pieces_of_a_long_text_change_nothing(monkeypatch):
+    monkeypatch.setattr(tokenizer, "PIECE", 40)
+    rng = random.Random(1)
+    for _ in range(200):
+        t = "".join(rng.choice(["a", "b1", " ", "\n", "\n\n", "  ", "é", "日本", "1", "!", "\t", "'s", "\r\n", "_"]) for _ in range(300))
+        assert len(tokenizer.pieces(t)) > 1 and "".join(tokenizer.pieces(t)) == t
+        assert [i for p in tokenizer.pieces(t) for i in library_ids(p)] == library_ids(t)
+
+
 def test_count_columns(spark):
     rows = [(i, t, [(1, 3, "XY"), (0, None, "new ")]) for i, t in enumerate(ODD)] + [(98, None, None), (99, "word " * 20000, [(50000, 50001, "q")])]
     df = spark.createDataFrame(rows, "id int, text string, edits array<struct<start:int,end:int,text:string>>")
