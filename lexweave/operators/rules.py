@@ -73,7 +73,7 @@ def haystack() -> Column:
 
 
 def search(rules: DataFrame, query: str = "", chapter: str | None = None, rule_type: str | None = None, limit: int | None = 20, text: Column | None = None) -> DataFrame:
-    """Rules whose normalised text contains the normalised query, equality filters first, in input order.
+    """Rules whose normalised text contains the normalised query, equality filters first; in input order, if limited.
 
     A limit below one still returns one row, as a first match always counts. ``text`` may name a stored haystack.
     """
@@ -83,8 +83,8 @@ def search(rules: DataFrame, query: str = "", chapter: str | None = None, rule_t
     if rule_type:
         out = out.where(F.col("rule_type") == rule_type)
     q = normalize_token(F.lit(query or ""))
-    out = out.where((q == "") | F.contains(haystack() if text is None else text, q)).orderBy("pos")
-    return out if limit is None else out.limit(max(limit, 1))
+    out = out.where((q == "") | F.contains(haystack() if text is None else text, q))
+    return out if limit is None else out.orderBy("pos").limit(max(limit, 1))
 
 
 def condition_match(condition: Column, fact: Column) -> Column:

@@ -54,13 +54,14 @@ def correction_dates(spark, sf_dir):
 
 
 def resolution_cascade(spark, sf_dir):
-    """Line items as references to orders (links), parts (cited) and what can't be resolved, through the cascade."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
+    """Lines as references: odd ones link to an order, even ones cite a part; open orders and larger parts can be resolved."""
+    li = table(spark, sf_dir, "lineitem")
+    link = F.col("l_linenumber") % 2 == 1
     occ = li.select(
         F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("occurrence_id"),
         F.lit("http://h/x/a.html").alias("base_url"),
-        F.when(F.col("l_linenumber") == 1, F.concat(F.lit("Orders.html#"), F.col("l_orderkey").cast("string"))).alias("href"),
-        F.when(F.col("l_linenumber") == 2, F.concat(F.lit("p-9."), F.col("l_partkey").cast("string"))).alias("cited"),
+        F.when(link, F.concat(F.lit("Orders.html#"), F.col("l_orderkey").cast("string"))).alias("href"),
+        F.when(~link, F.concat(F.lit("p-9."), F.col("l_partkey").cast("string"))).alias("cited"),
     )
     o = table(spark, sf_dir, "orders").where("o_orderstatus <> 'F'").select(F.lit("O").alias("document_id"), F.concat(F.lit("P-8."), F.col("o_orderkey").cast("string")).alias("rule_id"), F.col("o_orderkey").cast("string").alias("anchor"))
     p = table(spark, sf_dir, "part").where("p_size > 25").select(F.lit("P").alias("document_id"), F.concat(F.lit("P-9."), F.col("p_partkey").cast("string")).alias("rule_id"), F.col("p_partkey").cast("string").alias("anchor"))
@@ -134,7 +135,7 @@ ORACLES = {
         o_orderpriority AS before_text, 'status ' || o_orderstatus AS after_text FROM orders""",
     "correction_dates": """SELECT CAST(o_orderkey AS VARCHAR) AS overlay_id, CAST(1 AS BIGINT) AS ordinal, 'modified' AS event, strftime(o_orderdate, '%Y-%m-%d') AS event_date FROM orders
         UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 2, 'added', '2020-02-01' FROM orders""",
-    "resolution_cascade": """WITH l AS (SELECT l_linenumber AS k, l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_linenumber <= 2),
+    "resolution_cascade": """WITH l AS (SELECT CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE 2 END AS k, l_orderkey AS o, l_partkey AS p FROM lineitem),
         r AS (SELECT CASE WHEN k = 1 AND o_orderkey IS NOT NULL THEN 'href_anchor' WHEN k = 2 AND p_partkey IS NOT NULL THEN 'reference_text' WHEN k = 2 THEN 'inferred_document' ELSE 'unresolved' END AS resolution_basis,
             CASE WHEN k = 1 AND o_orderkey IS NOT NULL THEN 'O' WHEN k = 2 THEN 'P' END AS target_document,
             CASE WHEN k = 1 AND o_orderkey IS NOT NULL THEN 'P-8.' || o WHEN k = 2 AND p_partkey IS NOT NULL THEN 'P-9.' || p END AS rule

@@ -146,11 +146,10 @@ def lex_rank(spark, sf_dir):
 
 
 def typed_ref_check(spark, sf_dir):
-    """Line items' references to parts, suppliers and orders that hit no object, or several."""
+    """Line items' references to parts, suppliers and orders that hit no object, or several; order keys are also read as parts."""
     li = table(spark, sf_dir, "lineitem")
-    refs = li.select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).alias("ref_id")) for k, c in (("part", "l_partkey"), ("supplier", "l_suppkey"), ("order", "l_orderkey"))))).alias("x")).select("x.*").distinct()
-    # object keys of which a third are left out on purpose, so that there is something to find
-    objects = table(spark, sf_dir, "part").where("p_size % 3 <> 0").select(F.lit("part").alias("kind"), F.col("p_partkey").alias("object_id"))
+    refs = li.select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).alias("ref_id")) for k, c in (("part", "l_partkey"), ("supplier", "l_suppkey"), ("order", "l_orderkey"), ("part", "l_orderkey"))))).alias("x")).select("x.*").distinct()
+    objects = table(spark, sf_dir, "part").select(F.lit("part").alias("kind"), F.col("p_partkey").alias("object_id"))
     objects = objects.unionByName(table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("object_id"))).unionByName(table(spark, sf_dir, "orders").select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("object_id")))
     return validate.reference_targets(refs, objects).select("code", "key")
 
@@ -278,8 +277,8 @@ ORACLES = {
     "ordinals": "SELECT l_orderkey, count(*) AS n, format('{}:line:{:04d}', l_orderkey, count(*)) AS last_id FROM lineitem GROUP BY l_orderkey",
     "lex_rank": """WITH v AS (SELECT l_orderkey, list_sort(list(CAST(l_quantity AS INTEGER))) AS v FROM lineitem GROUP BY 1), o AS (SELECT o_custkey, o_orderkey, v, o_orderpriority FROM orders JOIN v ON l_orderkey = o_orderkey),
         r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY v, o_orderpriority, o_orderkey) AS k FROM o) SELECT o_custkey, o_orderkey, array_to_string(v, ',') AS vector FROM r WHERE k = 1""",
-    "typed_ref_check": """WITH r AS (SELECT DISTINCT 'part' AS kind, l_partkey AS id FROM lineitem UNION SELECT 'supplier', l_suppkey FROM lineitem UNION SELECT 'order', l_orderkey FROM lineitem),
-        o AS (SELECT 'part' AS kind, p_partkey AS id FROM part WHERE p_size % 3 <> 0 UNION ALL SELECT 'supplier', s_suppkey FROM supplier UNION ALL SELECT 'order', o_orderkey FROM orders), n AS (SELECT kind, id, count(*) AS n FROM o GROUP BY ALL)
+    "typed_ref_check": """WITH r AS (SELECT DISTINCT 'part' AS kind, l_partkey AS id FROM lineitem UNION SELECT 'supplier', l_suppkey FROM lineitem UNION SELECT 'order', l_orderkey FROM lineitem UNION SELECT 'part', l_orderkey FROM lineitem),
+        o AS (SELECT 'part' AS kind, p_partkey AS id FROM part UNION ALL SELECT 'supplier', s_suppkey FROM supplier UNION ALL SELECT 'order', o_orderkey FROM orders), n AS (SELECT kind, id, count(*) AS n FROM o GROUP BY ALL)
         SELECT CASE WHEN n IS NULL THEN 'ref.unresolved' ELSE 'ref.ambiguous' END AS code, r.kind || ':' || r.id AS key FROM r LEFT JOIN n USING (kind, id) WHERE coalesce(n, 0) <> 1""",
     "page_region": """SELECT CASE WHEN p_size BETWEEN 1 AND 8 THEN 'front' WHEN p_size BETWEEN 9 AND 30 THEN 'body' WHEN p_size BETWEEN 31 AND 42 THEN 'tables' WHEN p_size BETWEEN 43 AND 49 THEN 'index' END AS region,
         count(*) AS n, min(p_partkey) AS first_key FROM part GROUP BY 1""",
