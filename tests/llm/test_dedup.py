@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -119,6 +120,53 @@ def test_embeddings_edge_cases(spark):
     assert got == [(-1, 0, None, None), (2, 2, 2, True), (2, 2, 2, True), (4, 2, 2, False), (7, 0, 7, True)]
 
 
+def test_sketches_lose_no_pair_at_the_cosine():
+    rng = np.random.default_rng(8)
+    for d in (2, 3, 64, 300):
+        a = rng.normal(size=(4000, d))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b = rng.normal(size=(4000, d))
+        b -= (a * b).sum(1, keepdims=True) * a
+        b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+        far = np.bitwise_count(embed_dedup.sketches(a) ^ embed_dedup.sketches(b)).sum(1)
+        assert far.max() <= embed_dedup.reach(0.95) < 64
+    assert embed_dedup.reach(1.0) == 0 and embed_dedup.reach(-1.0) == embed_dedup.SKETCH
+    assert [embed_dedup.width(k, 64) for k in (1, 2, 3, 5, 9)] == [np.dtype(t) for t in ("u1", "u2", "u4", "u8", "u8")]
+
+
+def test_sifting_is_its_definition():
+    rng = np.random.default_rng(9)
+    n, tables, probes = 400, 3, 2
+    words = rng.integers(0, 8, (n, 2)).astype(np.uint64)
+    keys = rng.integers(0, 4, (n, tables, probes)).astype(np.uint8)
+    group = np.sort(rng.integers(0, 25, n))
+    table, bucket, cross = (rng.integers(0, top, 25)[group] for top in (tables, 4, 2))
+    side, cross = rng.integers(0, 2, n), cross == 1
+
+    def first(i, j):
+        shared = [(t, int(k)) for t in range(tables) for k in sorted(set(keys[i, t]) & set(keys[j, t]))]
+        return shared and shared[0] == (table[i], bucket[i])
+
+    def near(i, j):
+        return group[i] == group[j] and i != j and (side[i] != side[j] or not cross[i]) and sum(int(a ^ b).bit_count() for a, b in zip(words[i], words[j], strict=True)) <= 1
+
+    want = [any(near(i, j) and first(i, j) for j in range(n)) for i in range(n)]
+    assert 0 < sum(want) < n
+    assert embed_dedup.near_by_sketch(words, keys, group, side, cross, table, bucket, 1).tolist() == want
+
+
+def test_groups_of_rows_stay_whole():
+    values = np.sort(np.random.default_rng(4).integers(0, 60, 1000))
+    values[300:600] = 20  # spans several batches
+    values.sort()
+    table = pa.table({"k": values, "i": np.arange(1000)})
+    parts = list(embed_dedup.groups(iter(table.to_batches(max_chunksize=37)), ["k"]))
+    assert pa.concat_tables(parts).column("i").to_pylist() == list(range(1000))
+    seen = [set(p.column("k").to_pylist()) for p in parts]
+    assert all(not a & b for i, a in enumerate(seen) for b in seen[:i]) and len(parts) > 5
+    assert list(embed_dedup.groups(iter([]), ["k"])) == []
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(1).normal(size=(5, 16))
     y = embed_dedup.hadamard(x)
