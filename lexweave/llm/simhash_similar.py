@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lexweave.llm.common import components, text_batches
 from lexweave.llm.simhash import SEED, signed
+from lexweave.plans import lineage
 from lexweave.plans.lineage import Scratch
 
 WIDTH, SIMILARITY, WIDE, WORDS64 = 5, 0.8, 256, 4
@@ -317,8 +318,12 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         first = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32()), pa.array(np.concatenate(firsts) if firsts else np.zeros(0, np.int64)))
         return pa.StructArray.from_arrays([*(pa.array(flat[:, k]) for k in range(len(longs))), pa.array(sizes, pa.int32()), first], names=[*longs, "n", "first"])
 
-    own = cut(texts.select("id", scan(F.col("text")).alias("x")).select("id", "x.*"))
-    classes = cut(own.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("n").alias("n"), *(F.first(f).alias(f) for f in PRINT)))
+    scanned, path = lineage.cut(texts.select("id", scan(F.col("text")).alias("x")).select("id", "x.*"))
+    own = cut(scanned.select("id", "c1", "c2"))
+    # equal words move once, with their prefix: nothing below joins prefixes to anything that isn't small
+    whole = cut(scanned.groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("n").alias("n"), *(F.first(f).alias(f) for f in (*PRINT, "first"))))
+    lineage.drop(spark, path)
+    classes = whole.drop("first")
     named = classes.where("id is not null and n > 0")
     prints = side(named.select("id", "n", *PRINT))
 
@@ -359,12 +364,11 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = cut(components(found))
     rooted = cut(named.join(side(groups), named["id"] == groups["node"], "left").select("id", F.coalesce("root", "id").alias("group"), "n", "c1", "c2", *PRINT))
 
-    # 2. prefix shingles: candidates between groups
-    ids = side(rooted.select(F.col("id").alias("_id"), F.col("c1").alias("_1"), F.col("c2").alias("_2"), "group"))
-    firsts = own.join(ids, (F.col("id") == F.col("_id")) & (F.col("c1") == F.col("_1")) & (F.col("c2") == F.col("_2")))
-    dealt = firsts.select("id", "group", F.explode("first").alias("key"))
-    mixed = cut(dealt.groupBy("key").agg(F.min("group").alias("_"), F.max("group").alias("_more"), F.count(F.lit(1)).alias("m")).where("_ < _more").select("key", F.ceil(F.col("m") / LARGE).cast("int").alias("m")))
-    light = dealt.join(side(mixed), "key").join(prints, "id")
+    # 2. prefix shingles: candidates between groups; a document in no group is one by itself
+    dealt = whole.where("id is not null and n > 0").select("id", F.explode("first").alias("key"))
+    grouped = dealt.join(side(groups), dealt["id"] == groups["node"], "left").select("key", F.coalesce("root", "id").alias("group"))
+    mixed = cut(grouped.groupBy("key").agg(F.min("group").alias("_"), F.max("group").alias("_more"), F.count(F.lit(1)).alias("m")).where("_ < _more").select("key", F.ceil(F.col("m") / LARGE).cast("int").alias("m")))
+    light = dealt.join(side(mixed), "key").join(side(rooted.select("id", "group", "n", *PRINT)), "id")
     light = light.withColumn("part", F.pmod(F.xxhash64("group", "id"), F.col("m")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     light = light.select("key", "group", "n", *PRINT, "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
     light = light.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "part", "group")
