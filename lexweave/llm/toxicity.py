@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import bounded_sample, text_batches
+from lexweave.llm.common import bounded_sample, cut, drop, text_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 SPACE = 1 << 22
@@ -129,43 +129,29 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _select(docs: list[np.ndarray], y: np.ndarray, top: int) -> np.ndarray:
-    """The features that speak most for label 1 (largest signed z-scores of their log odds), ``LEAST_DOCS`` documents each.
+def _select(ids: np.ndarray, without: np.ndarray, within: np.ndarray, sizes: tuple[int, int], top: int) -> np.ndarray:
+    """The features that speak most for label 1 (largest signed z-scores of their log odds), from the number of documents
+    of label 0 and 1 that hold each, and of all documents.
 
     Text without them is neutral, so features of label 0 are left out; on held-out labels of 10,000 documents this catches
     91.7 % of the toxic ones, features chosen by the absolute value 90.3 %, with two false alarms of 1,200 each.
     """
-    df = [np.zeros(SPACE, np.int32), np.zeros(SPACE, np.int32)]
-    for ids, label in zip(docs, y, strict=True):
-        df[int(label)][ids] += 1
-    near = np.flatnonzero(df[0] + df[1] >= LEAST_DOCS)
-    b, a = df[0][near] + 0.5, df[1][near] + 0.5
-    p1, p0 = a / ((y == 1).sum() + 1), b / ((y == 0).sum() + 1)
+    b, a = without + 0.5, within + 0.5
+    p1, p0 = a / (sizes[1] + 1), b / (sizes[0] + 1)
     z = (np.log(p1 / (1 - p1)) - np.log(p0 / (1 - p0))) / np.sqrt(1 / a + 1 / b)
-    return np.sort(near[np.argsort(-z, kind="stable")[:top]])
+    return np.sort(ids[np.argsort(-z, kind="stable")[:top]])
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray, list[tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]]]], penalty: float = PENALTY, top: int = FEATURES, l2: float = 2e-4, steps: int = 250) -> Model:
-    """Fit on (label, feature ids, counts, the same of both sides of each counterfactual pair)."""
+def fit(rows: list[tuple[int, list[tuple[np.ndarray, np.ndarray]]]], chosen: np.ndarray, penalty: float = PENALTY, l2: float = 2e-4, steps: int = 250) -> Model:
+    """Fit on (label, texts): the document and both sides of each counterfactual pair, each as places in ``chosen``, values."""
     y = np.array([r[0] for r in rows], float)
-    if not len(y) or y.min() == y.max():  # nothing to tell apart: the share of the only label
-        return Model(np.zeros(0, np.int64), np.zeros(0), float(np.clip((y.mean() if len(y) else 0.0) * 8 - 4, -4, 4)))
-    chosen = _select([r[1] for r in rows], y, top)
-    slot = np.full(SPACE, -1, np.int32)
-    slot[chosen] = np.arange(len(chosen))
 
     def sparse(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        row, col, val = [], [], []
-        for i, (ids, counts) in enumerate(found):
-            at = slot[ids]
-            good = at >= 0
-            row.append(np.full(int(good.sum()), i))
-            col.append(at[good])
-            val.append(np.log1p(counts[good] * (3000 / (1 + counts.sum()))))
-        return np.concatenate(row), np.concatenate(col), np.concatenate(val)
-
-    row, col, val = sparse([(r[1], r[2]) for r in rows])
-    base, other = ([x[k] for r in rows for x in r[3]] for k in (0, 1))
+        row = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+        return row, np.concatenate([at for at, _ in found]), np.concatenate([v for _, v in found])
+
+    row, col, val = sparse([r[1][0] for r in rows])
+    base, other = ([x for r in rows for x in r[1][k::2]] for k in (1, 2))
     pairs = len(base)
     if pairs:
         (r1, c1, v1), (r2, c2, v2) = sparse(base), sparse(other)
@@ -192,7 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     document has several).
 
     The sample is drawn from the labels alone, and its ids (about twice ``bound``) are broadcast, so no text moves.
-    Features are made by the executors; the driver gets hashed counts of the bounded sample only.
+    Features are made and counted by the executors; the driver gets the counts of those in ``LEAST_DOCS`` documents or
+    more, and of the bounded sample only the values of the features chosen.
     """
     text_batches(docs.sparkSession)
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
@@ -208,17 +195,37 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 kind = pa.list_(pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), kind, kind), strict=True)], names=["label", "ids", "counts"])
 
-    table = pick.select("_text", "_label").mapInArrow(make, "label int, ids array<array<int>>, counts array<array<int>>").toArrow()
-    found = []
-    batches = table.to_batches()
-    del table
-    while batches:  # each batch goes once its rows are taken
-        b = batches.pop()
-        for label, ids, counts in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-            own = [(_ints(i), _ints(c)) for i, c in zip(ids.values, counts.values, strict=True)]
-            found.append((label, *own[0], list(zip(own[1::2], own[2::2], strict=True))))
-    found.sort(key=lambda r: (r[0], len(r[1]), zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))
-    return fit(found, penalty)
+    sample, path = cut(pick.select("_text", "_label").mapInArrow(make, "label int, ids array<array<int>>, counts array<array<int>>"))
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:  # nothing to tell apart: the only label
+        drop(docs.sparkSession, path)
+        return Model(np.zeros(0, np.int64), np.zeros(0), 4.0 if 1 in sizes else -4.0)
+    held = sample.select("label", F.explode(F.element_at("ids", 1)).alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones"))
+    held = held.where(F.col("n") >= LEAST_DOCS).toArrow().sort_by("f")
+    ids, n, ones = (held.column(c).to_numpy().astype(np.int64) for c in ("f", "n", "ones"))
+    chosen = _select(ids, n - ones, ones, (sizes[0], sizes[1]), FEATURES)
+    known = docs.sparkSession.sparkContext.broadcast(chosen)
+
+    def value(batches):
+        for b in batches:
+            texts = [[_values(_ints(i), _ints(c), known.value) for i, c in zip(x.values, n.values, strict=True)] for x, n in zip(b.column("ids"), b.column("counts"), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("label"), *(pa.array([[t[k] for t in row] for row in texts], pa.list_(pa.list_(kind))) for k, kind in enumerate((pa.int32(), pa.float64())))],
+                names=["label", "at", "v"],
+            )
+
+    table = sample.mapInArrow(value, "label int, at array<array<int>>, v array<array<double>>").toArrow()
+    drop(docs.sparkSession, path)
+    found = [(label, [(_ints(i), np.asarray(w.values, float)) for i, w in zip(at.values, v.values, strict=True)]) for label, at, v in zip(table.column(0).to_pylist(), table.column(1), table.column(2), strict=True)]
+    found.sort(key=lambda r: (r[0], len(r[1][0][0]), *(zlib.crc32(x.tobytes()) for t in r[1] for x in t)))
+    return fit(found, chosen, penalty)
+
+
+def _values(ids: np.ndarray, counts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``chosen`` of a text's features, and the logarithms of their counts in a text of 3,000 features."""
+    at = np.minimum(np.searchsorted(chosen, ids), max(len(chosen) - 1, 0))
+    good = chosen[at] == ids if len(chosen) else np.zeros(len(ids), bool)
+    return at[good].astype(np.int32), np.log1p(counts[good] * (3000 / (1 + counts.sum())))
 
 
 def _ints(x: pa.Scalar) -> np.ndarray:
